@@ -1,0 +1,81 @@
+from datetime import date, datetime, timedelta
+
+import pytest
+
+from tallyloom.operators import calendar as cal
+from tallyloom.operators import extract as ext
+
+
+def test_calendar_ends_on_the_sunday_of_the_week(spark):
+    calendar = cal.Calendar.upto(datetime(2021, 2, 10, 15))
+    assert calendar.end == date(2021, 2, 14)
+    days = [r.dt for r in calendar.days(spark).orderBy("dt").collect()]
+    assert days == [datetime(2021, 2, 1) + timedelta(days=n) for n in range(14)]
+    assert cal.Calendar.upto(date(2021, 2, 14)).end == date(2021, 2, 14)
+    assert cal.Calendar.upto().end.weekday() == 6
+
+
+def test_calendar_before_its_start_is_empty(spark):
+    assert cal.Calendar(date(2021, 2, 2), date(2021, 2, 1)).days(spark).count() == 0
+
+
+def test_calendar_must_end_before_open_statuses_do():
+    with pytest.raises(ValueError, match="2099"):
+        cal.Calendar.upto(date(2098, 12, 30))
+
+
+def test_resolve_interval():
+    today = date(2022, 8, 9)
+    assert cal.resolve_interval(20220801, "20220803", 9) == (date(2022, 8, 1), date(2022, 8, 3))
+    assert cal.resolve_interval(start=20220801) == (date(2022, 8, 1), date(2022, 8, 1))
+    assert cal.resolve_interval(start=20220801, interval=2) == (date(2022, 8, 1), date(2022, 8, 3))
+    assert cal.resolve_interval(end=20220801, interval=2) == (date(2022, 7, 30), date(2022, 8, 1))
+    assert cal.resolve_interval(interval=3, today=today) == (date(2022, 8, 5), date(2022, 8, 8))
+    assert cal.resolve_interval(today=today) == (date(2022, 8, 8), date(2022, 8, 8))
+
+
+def test_load_periods():
+    assert cal.load_periods(date(2022, 8, 5), date(2022, 8, 9), "week") == [date(2022, 8, 1), date(2022, 8, 8)]
+    assert cal.load_periods(date(2022, 8, 5), date(2022, 8, 7)) == [date(2022, 8, n) for n in (5, 6, 7)]
+    assert cal.load_periods(date(2022, 8, 5), date(2022, 8, 4)) == []
+    with pytest.raises(ValueError, match="quarter"):
+        cal.load_periods(date(2022, 8, 5), date(2022, 8, 5), "quarter")
+
+
+def test_anchor_days_of_months_and_years():
+    first = date(2022, 8, 1)
+    assert cal.load_periods(first, first, "month") == [first]
+    assert cal.load_periods(first, first, "month", anchor="previous") == [date(2022, 7, 1)]
+    assert cal.load_periods(date(2022, 1, 1), date(2022, 1, 2), "year", anchor="previous") == [
+        date(2021, 1, 1),
+        date(2022, 1, 1),
+    ]
+    assert cal.load_periods(date(2022, 8, 8), date(2022, 8, 8), "week", anchor="previous") == [date(2022, 8, 8)]
+
+
+@pytest.mark.parametrize("unit", ["day", "week", "month", "year"])
+def test_next_period_is_the_next_one(unit):
+    days = [date(2019, 12, 25) + timedelta(days=n) for n in range(800)]
+    periods = sorted({cal.truncate_day(d, unit) for d in days})
+    assert [cal.next_period(p, unit) for p in periods[:-1]] == periods[1:]
+    assert ext.period_ranges(periods, unit) == [(periods[0], cal.next_period(periods[-1], unit))]
+
+
+def test_separate_periods_stay_separate():
+    periods = [date(2022, 1, 1), date(2022, 3, 1), date(2022, 2, 15)]
+    assert ext.period_ranges(periods, "month") == [
+        (date(2022, 1, 1), date(2022, 2, 1)),
+        (date(2022, 3, 1), date(2022, 4, 1)),
+    ]
+
+
+def test_periods_over_a_table(spark):
+    df = spark.createDataFrame([(datetime(2021, 12, 30, 5),), (datetime(2022, 1, 3),), (None,)], "ts timestamp_ntz")
+    found = {(r.unit, r.period) for r in cal.periods_over(df, "ts", ("week", "year")).collect()}
+    assert found == {
+        ("week", date(2021, 12, 27)),
+        ("week", date(2022, 1, 3)),
+        ("year", date(2021, 1, 1)),
+        ("year", date(2022, 1, 1)),
+    }
+    assert cal.periods_over(df.where("ts is null"), "ts").count() == 0
