@@ -27,7 +27,16 @@ CALENDAR = cal.Calendar.upto(date(2001, 12, 28), start=date(1995, 1, 1))
 CUT = date(2000, 1, 1)
 WEEKS = cal.load_periods(date(1999, 12, 27), date(2000, 1, 9), "week")
 MONTHS = cal.load_periods(date(1999, 11, 15), date(2000, 2, 15), "month")
-SPEC = load.LoadSpec("public.orders", "orders", None, "created_at", "o_orderkey", "week", key="o_orderkey")
+# The samples hold a handful of orders per day, too few for a file of their own.
+SPEC = load.LoadSpec(
+    "public.orders",
+    "orders",
+    partitioning_field="created_at",
+    clustering_field="o_orderkey",
+    date_trunc="week",
+    key="o_orderkey",
+    partition_unit="month",
+)
 
 LINEITEM_COLUMNS = [
     con.SourceColumn("l_orderkey", "bigint"),
@@ -214,7 +223,7 @@ def _loader(spark: SparkSession) -> tuple[load.Loader, load.LoadSpec]:
 def load_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     loader, spec = _loader(spark)
     loader.load(replace(spec, date_trunc=None), _source(spark, sf_dir))
-    return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.DAY)
+    return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
 
 
 def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +231,7 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = _source(spark, sf_dir)
     loader.load_full(spec, source.where(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz")))
     loader.load(spec, source, start=WEEKS[0], end=WEEKS[-1])
-    return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.DAY)
+    return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
 
 
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:

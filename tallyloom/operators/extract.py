@@ -95,10 +95,10 @@ def extract_periods(
         if truncate_day(period, unit) != period:
             raise ValueError(f"{period} does not start a {unit}")
     changed = source.where(changed_in(columns, field, list(launches), unit))
-    periods = [period_day(F.col(field), unit)]
+    period = period_day(F.col(field), unit)
     if has_updates(columns):
-        periods.append(period_day(F.col(UPDATED_AT), unit))
-    tagged = changed.withColumn("_period", F.explode(F.array_distinct(F.array(*periods))))
+        period = F.explode(F.array_distinct(F.array(period, period_day(F.col(UPDATED_AT), unit))))
+    tagged = changed.withColumn("_period", period)
     named = source.sparkSession.createDataFrame(sorted(launches.items()), f"_period date, {LAUNCH_ID} string")
     staged = tagged.join(F.broadcast(named), "_period")
     tag = SourceColumn(LAUNCH_ID, "uuid", False)

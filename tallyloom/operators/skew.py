@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 SALT = "_salt"
 MAX_HEAVY_KEYS = 2048
 SKETCH_ITEMS = 8 * MAX_HEAVY_KEYS
-MAX_SALTS = 512
+MAX_SALTS = 4096
 # A key with fewer rows than this never overloads a task.
 MIN_HEAVY_ROWS = 1_000_000
 

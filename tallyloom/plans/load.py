@@ -19,7 +19,10 @@ from tallyloom.sources.tables import Layers, SnapshotTable, StagingTable, log_la
 
 @dataclass(frozen=True)
 class LoadSpec:
-    """What to load and how. Without ``date_trunc`` every load takes the whole table."""
+    """What to load and how. Without ``date_trunc`` every load takes the whole table.
+
+    ``partition_unit`` is how the snapshot is laid out; a day suits tables with many rows per day.
+    """
 
     source_table: str
     target_table: str
@@ -28,6 +31,7 @@ class LoadSpec:
     clustering_field: str | None = None
     date_trunc: str | None = None
     key: str = "id"
+    partition_unit: str = "day"
 
 
 # The tables that come with the package.
@@ -39,7 +43,7 @@ SHIFT_REASONS = LoadSpec("public.shift_reasons", "shift_reasons", None, "created
 @dataclass(frozen=True)
 class LoadResult:
     launches: dict[date | None, str]
-    rewritten_days: list[str]
+    rewritten: list[str]
 
 
 def name_launches(
@@ -82,7 +86,9 @@ class Loader:
         found = list(columns or source_columns(source))
         has_updates(found)
         staging = StagingTable(self.spark, self.layers, spec.target_table)
-        snapshot = SnapshotTable(self.spark, self.layers, spec.target_table, spec.partitioning_field, spec.key)
+        snapshot = SnapshotTable(
+            self.spark, self.layers, spec.target_table, spec.partitioning_field, spec.key, spec.partition_unit
+        )
         # Text lengths decide only how the staging table is created, so a table that exists is not measured.
         if not self.spark.catalog.tableExists(staging.name):
             found = measure(source, found)
@@ -103,7 +109,7 @@ class Loader:
         """Incremental load of the periods between two days, or a full load if the spec has no period.
 
         All periods are staged in one scan of the source and one write, each under its own launch id,
-        and upserted in one rewrite of the days concerned.
+        and upserted in one rewrite of the partitions concerned.
         """
         if spec.date_trunc is None:
             return self.load_full(spec, source, columns)
@@ -116,10 +122,10 @@ class Loader:
             return LoadResult({}, [])
         log_launches(self.spark, self.layers, list(launches.values()))
         batch = extract_periods(source, launches, spec.partitioning_field, spec.date_trunc, found)
-        staging.append(batch, found, spec.clustering_field)
+        staging.append(batch, found, len(launches), spec.clustering_field)
         staged = staging.read(list(launches.values()))
-        days = snapshot.upsert(latest_launches(staged, launches, spec.key), next(reversed(launches.values())))
-        return LoadResult(dict(launches), days)
+        rewritten = snapshot.upsert(latest_launches(staged, launches, spec.key), next(reversed(launches.values())))
+        return LoadResult(dict(launches), rewritten)
 
     def load_full(
         self, spec: LoadSpec, source: DataFrame, columns: Sequence[SourceColumn] | None = None
@@ -128,5 +134,5 @@ class Loader:
         launch_id = self.new_id(None) if self.new_id else new_launch_id()
         found, staging, snapshot = self._prepare(spec, source, columns)
         log_launches(self.spark, self.layers, [launch_id])
-        staging.append(extract(source, launch_id, found), found, spec.clustering_field)
+        staging.append(extract(source, launch_id, found), found, 1, spec.clustering_field)
         return LoadResult({None: launch_id}, snapshot.upsert(staging.read([launch_id]), launch_id))

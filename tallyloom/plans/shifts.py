@@ -78,6 +78,15 @@ def shift_days(base: DataFrame, calendar: Calendar) -> DataFrame:
     )
 
 
+def counted(base: DataFrame, *columns: str) -> DataFrame:
+    """Distinct rows and how many shifts each stands for.
+
+    An id may occur more than once; counting equal rows before a join keeps their copies from being
+    paired with every row of that id.
+    """
+    return base.groupBy(*columns).agg(F.count(F.lit(1)).alias("shifts"))
+
+
 def shift_dynamic(
     base: DataFrame, history: DataFrame, calendar: Calendar, heavy: Sequence[Any] | None = None
 ) -> DataFrame:
@@ -95,15 +104,13 @@ def shift_dynamic(
     if heavy is None:
         heavy = heavy_keys(events, "shift_id")
     start_day = F.col("plan_shift_start").cast("date")
-    # One row per kind of shift, in case a shift id occurs more than once.
     kind = ["shift_id", "first_day", "last_day", "start_day", "after_midnight"]
-    spans = (
+    spans = counted(
         shift_spans(base, calendar)
         .where("first_day <= last_day")
         .withColumn("start_day", start_day)
-        .withColumn("after_midnight", F.col("plan_shift_start") > start_day.cast("timestamp_ntz"))
-        .groupBy(*kind)
-        .agg(F.count(F.lit(1)).alias("shifts"))
+        .withColumn("after_midnight", F.col("plan_shift_start") > start_day.cast("timestamp_ntz")),
+        *kind,
     )
     midnights = {"next": F.date_add("start_day", 1), **{str(n): F.date_sub("start_day", n) for n in HEAD_COUNTS}}
 
@@ -114,8 +121,8 @@ def shift_dynamic(
     def on_shift(name: str) -> Column:
         day = midnights[name]
         on, off = F.col(f"on_{name}"), F.col(f"off_{name}")
-        is_on = on.isNotNull() & (off.isNull() | (on >= off))
-        return (is_on & day.between(F.col("first_day"), F.col("last_day"))).cast("long")
+        is_on = on.isNotNull() & (off.isNull() | (on >= off)) & day.between(F.col("first_day"), F.col("last_day"))
+        return F.when(is_on, 1).otherwise(0)
 
     def count_heads(joined: DataFrame) -> DataFrame:
         by_employee = joined.groupBy(*kind, "employee_id", "shifts").agg(
@@ -125,7 +132,7 @@ def shift_dynamic(
         heads = {n: on_shift(str(n)) for n in HEAD_COUNTS}
         heads[0] = heads[0] + F.when(F.col("after_midnight"), on_shift("next")).otherwise(0)
         return by_employee.groupBy("shift_id").agg(
-            *[F.sum(F.col("shifts") * F.coalesce(heads[n], F.lit(0))).alias(name) for n, name in HEAD_COUNTS.items()]
+            *[F.sum(F.col("shifts") * heads[n]).alias(name) for n, name in HEAD_COUNTS.items()]
         )
 
     def match(joined: DataFrame) -> DataFrame:
@@ -151,16 +158,18 @@ def shift_stat(base: DataFrame, couriers: DataFrame, heavy: Sequence[Any] | None
         "late_end_sh": (strict_greatest(fact_end, plan_end), plan_end),
     }
 
+    copies = F.col("shifts")
+
     def per_shift(joined: DataFrame) -> DataFrame:
         return joined.groupBy("shift_id", "max_count", "shift_len").agg(
-            F.sum("paid_sh").alias("fact_sh"),
-            *[(F.sum(whole_seconds(*span)) / 3600).alias(name) for name, span in spans.items()],
-            F.count(F.lit(1)).alias("assigned_emp_cnt"),
-            F.count_if(F.col("removed_dttm").isNull()).alias("not_removed_cnt"),
-            F.count_if(F.col("paid_sh") > 0).alias("working_cnt"),
+            F.sum(F.col("paid_sh") * copies).alias("fact_sh"),
+            *[(F.sum(whole_seconds(*span) * copies) / 3600).alias(name) for name, span in spans.items()],
+            F.sum(copies).alias("assigned_emp_cnt"),
+            F.sum(F.when(F.col("removed_dttm").isNull(), copies).otherwise(0)).alias("not_removed_cnt"),
+            F.sum(F.when(F.col("paid_sh") > 0, copies).otherwise(0)).alias("working_cnt"),
         )
 
-    planned = base.select("shift_id", "max_count", "shift_len", "plan_shift_start", "plan_shift_end")
+    planned = counted(base, "shift_id", "max_count", "shift_len", "plan_shift_start", "plan_shift_end")
     worked = couriers.select("shift_id", "paid_sh", "fact_shift_start", "fact_shift_end", "removed_dttm")
     return skew_join(worked, planned, "shift_id", heavy, then=per_shift).select(
         "shift_id",

@@ -13,18 +13,20 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from pathlib import Path
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.functions import period_day
 from tallyloom.operators.conform import LAUNCH_COLUMN, LAUNCH_ID, SourceColumn, spark_type
 from tallyloom.operators.quality import enforce
-from tallyloom.operators.skew import heavy_keys
+from tallyloom.operators.skew import heavy_keys, skew_join
 from tallyloom.operators.upsert import upsert
 
-# Day partition of a snapshot table; rows without a date go to NO_DAY.
-DAY = "_day"
-NO_DAY = "none"
+# Partition column of a snapshot table: the first day of a period; rows without a date go to NO_DATE.
+PART = "_part"
+NO_DATE = "none"
 # Catalogue statements name at most this many partitions each.
 PARTITIONS_PER_STATEMENT = 500
 
@@ -112,14 +114,17 @@ class StagingTable:
             if_exists="KEEP",
         )
 
-    def append(self, batch: DataFrame, columns: Sequence[SourceColumn], cluster_by: str | None = None) -> None:
+    def append(self, batch: DataFrame, columns: Sequence[SourceColumn], launches: int, cluster_by: str | None = None) -> None:
         """Add tagged rows. Required columns and text lengths are checked as the rows are written.
 
-        Rebalancing gives each launch few files and cuts a big launch into many.
+        A single launch is written as it is read, without a shuffle. Several are rebalanced first, so
+        that each gets few files and a big one is still written by many tasks.
         """
-        checked = enforce(batch, [*columns, LAUNCH_COLUMN]).hint("rebalance", LAUNCH_ID)
-        ordered = checked.sortWithinPartitions(LAUNCH_ID, *([cluster_by] if cluster_by else []))
-        ordered.select(*self.spark.table(self.name).columns).write.insertInto(self.name)
+        rows = enforce(batch, [*columns, LAUNCH_COLUMN])
+        if launches > 1:
+            rows = rows.hint("rebalance", LAUNCH_ID)
+        rows = rows.sortWithinPartitions(LAUNCH_ID, *([cluster_by] if cluster_by else []))
+        rows.select(*self.spark.table(self.name).columns).write.insertInto(self.name)
 
     def read(self, launch_ids: Sequence[str]) -> DataFrame:
         """The rows of some launches; other partitions are not read."""
@@ -128,9 +133,9 @@ class StagingTable:
 
 @dataclass(frozen=True)
 class SnapshotTable:
-    """Latest version of every row, partitioned by day and sorted by key within it.
+    """Latest version of every row, partitioned by day (or a longer ``unit``) and sorted by key within it.
 
-    An upsert rewrites only the days that lose or gain rows.
+    An upsert rewrites only the partitions that lose or gain rows.
     """
 
     spark: SparkSession
@@ -138,6 +143,7 @@ class SnapshotTable:
     table: str
     field: str | None = None
     key: str = "id"
+    unit: str = "day"
 
     @property
     def name(self) -> str:
@@ -148,59 +154,65 @@ class SnapshotTable:
         create_table(
             self.spark,
             self.name,
-            f"{ddl}, `{DAY}` STRING",
+            f"{ddl}, `{PART}` STRING",
             self.layers.location(self.layers.snapshot, self.table),
-            partition_by=DAY,
+            partition_by=PART,
             if_exists="KEEP",
         )
 
     def read(self) -> DataFrame:
-        return self.spark.table(self.name).drop(DAY)
+        return self.spark.table(self.name).drop(PART)
 
-    def _with_day(self, df: DataFrame) -> DataFrame:
-        day = F.col(self.field).cast("date").cast("string") if self.field else F.lit(None).cast("string")
-        return df.withColumn(DAY, F.coalesce(day, F.lit(NO_DAY)))
+    def _with_part(self, df: DataFrame) -> DataFrame:
+        if self.field is None:
+            return df.withColumn(PART, F.lit(NO_DATE))
+        return df.withColumn(PART, F.coalesce(period_day(F.col(self.field), self.unit).cast("string"), F.lit(NO_DATE)))
 
     def upsert(self, batch: DataFrame, version: str) -> list[str]:
-        """Replace the rows of all keys in ``batch``; returns the days that were rewritten.
+        """Replace the rows of all keys in ``batch``; returns the partitions that were rewritten.
 
         ``batch`` should be a table that has been written (a staged launch): it is read more than once.
-        Finding the days reads only the key of the snapshot. The days themselves are one short string
-        each, so their number is that of the calendar days in the table.
+        Finding the partitions reads only the key of the snapshot. Their names are all the driver gets,
+        at most one short string per calendar day.
         """
-        batch = self._with_day(batch)
-        keys = batch.select(self.key).distinct()
         current = self.spark.table(self.name)
-        losing = current.select(self.key, DAY).join(keys, self.key, "left_semi").select(DAY, F.lit(False).alias("gains"))
-        changes = losing.unionByName(batch.select(DAY, F.lit(True).alias("gains"))).groupBy(DAY).agg(F.max("gains"))
-        gains = {day: gaining for day, gaining in changes.collect()}
+        batch = self._with_part(batch).select(*current.columns)
+        known = {r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
+        changes = batch.select(PART, F.lit(True).alias("gains"))
+        heavy: list[Any] = []
+        if known:
+            heavy = heavy_keys(current, self.key)
+            keys = batch.select(self.key).distinct()
+            losing = skew_join(current.select(self.key, PART), keys, self.key, heavy, how="left_semi")
+            changes = changes.unionByName(losing.select(PART, F.lit(False).alias("gains")))
+        gains = {part: gaining for part, gaining in changes.groupBy(PART).agg(F.max("gains")).collect()}
         if not gains:
             return []
-        old = current.where(F.col(DAY).isin(sorted(gains)))
-        merged = upsert(old, batch.select(*current.columns), self.key, heavy_keys(old, self.key))
+        merged = batch
+        if known:
+            merged = upsert(current.where(F.col(PART).isin(sorted(gains))), batch, self.key, heavy)
         path = f"{self.layers.location(self.layers.snapshot, self.table)}/v={version}"
         (
-            merged.hint("rebalance", DAY)
-            .sortWithinPartitions(DAY, self.key)
+            merged.hint("rebalance", PART)
+            .sortWithinPartitions(PART, self.key)
             .write.mode("errorifexists")
-            .partitionBy(DAY)
+            .partitionBy(PART)
             .parquet(path)
         )
-        self._point_at(path, gains)
+        self._point_at(path, gains, known)
         return sorted(gains)
 
-    def _point_at(self, path: str, gains: dict[str, bool]) -> None:
-        known = {r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
-        filled = {day for day, gaining in gains.items() if gaining}
+    def _point_at(self, path: str, gains: dict[str, bool], known: set[str]) -> None:
+        filled = {part for part, gaining in gains.items() if gaining}
         if len(filled) < len(gains):
-            # Days that only lost rows may have none left. Needs the partitions of the new files only.
-            left = self.spark.read.schema(f"{DAY} string").parquet(path).where(~F.col(DAY).isin(sorted(filled)))
-            filled |= {r[DAY] for r in left.select(DAY).distinct().collect()}
-        for day in sorted(filled & known):
-            where = f"PARTITION ({DAY} = '{day}')"
-            self.spark.sql(f"ALTER TABLE {self.name} {where} SET LOCATION '{path}/{DAY}={day}'")
-        added = [f"PARTITION ({DAY} = '{d}') LOCATION '{path}/{DAY}={d}'" for d in sorted(filled - known)]
-        emptied = [f"PARTITION ({DAY} = '{d}')" for d in sorted(gains.keys() - filled)]
+            # Partitions that only lost rows may have none left. Reads no column of the new files.
+            left = self.spark.read.schema(f"{PART} string").parquet(path).where(~F.col(PART).isin(sorted(filled)))
+            filled |= {r[PART] for r in left.select(PART).distinct().collect()}
+        for part in sorted(filled & known):
+            where = f"PARTITION ({PART} = '{part}')"
+            self.spark.sql(f"ALTER TABLE {self.name} {where} SET LOCATION '{path}/{PART}={part}'")
+        added = [f"PARTITION ({PART} = '{p}') LOCATION '{path}/{PART}={p}'" for p in sorted(filled - known)]
+        emptied = [f"PARTITION ({PART} = '{p}')" for p in sorted(gains.keys() - filled)]
         for n in range(0, len(added), PARTITIONS_PER_STATEMENT):
             some = " ".join(added[n : n + PARTITIONS_PER_STATEMENT])
             self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {some}")

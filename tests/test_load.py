@@ -224,7 +224,7 @@ def layers(spark, tmp_path):
 
 
 def snapshot_of(spark, layers, table="things"):
-    return spark.table(f"{layers.snapshot}.{table}").drop(tables.DAY)
+    return spark.table(f"{layers.snapshot}.{table}").drop(tables.PART)
 
 
 def test_daily_loads_equal_one_long_load(spark, tmp_path):
@@ -252,15 +252,15 @@ def test_reload_and_moved_rows(spark, layers):
     spec = replace(SPEC, date_trunc=None)
     first = [(1, "a", datetime(2024, 1, 1, 5), None), (2, "b", datetime(2024, 1, 2), None), (None, "n", None, None)]
     result = loader.load(spec, spark.createDataFrame(first, SCHEMA))
-    assert result.rewritten_days == ["2024-01-01", "2024-01-02", tables.NO_DAY]
+    assert result.rewritten == ["2024-01-01", "2024-01-02", tables.NO_DATE]
     assert list(result.launches) == [None]
     moved = [(1, "z", datetime(2024, 1, 3), None)]
     result = loader.load(spec, spark.createDataFrame(moved, SCHEMA))
-    assert result.rewritten_days == ["2024-01-01", "2024-01-03"]
+    assert result.rewritten == ["2024-01-01", "2024-01-03"]
     after = snapshot_of(spark, layers)
     assert bag(after, "id", "name") == Counter([(1, "z"), (2, "b"), (None, "n")])
     days = {r[0] for r in spark.sql(f"SHOW PARTITIONS {layers.snapshot}.things").collect()}
-    assert days == {f"{tables.DAY}={d}" for d in ("2024-01-02", "2024-01-03", tables.NO_DAY)}
+    assert days == {f"{tables.PART}={d}" for d in ("2024-01-02", "2024-01-03", tables.NO_DATE)}
     loader.load(spec, spark.createDataFrame(moved, SCHEMA))
     assert bag(snapshot_of(spark, layers), "id", "name") == Counter([(1, "z"), (2, "b"), (None, "n")])
     assert spark.table(f"{layers.staging}.things").count() == 5
@@ -287,7 +287,7 @@ def test_nothing_to_load(spark, layers):
     loader = load.Loader(spark, layers)
     source = spark.createDataFrame([(1, "a", datetime(2024, 1, 1), None)], SCHEMA)
     result = loader.load(SPEC, source, 20240105)
-    assert result.rewritten_days == [] and len(result.launches) == 1
+    assert result.rewritten == [] and len(result.launches) == 1
     assert loader.load(SPEC, source, 20240105, 20240104) == load.LoadResult({}, [])
     assert snapshot_of(spark, layers).count() == 0
     with pytest.raises(ValueError, match="partitioning field"):
