@@ -34,15 +34,15 @@ def build_session(app_name: str = "tallyloom", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (a local test run) is one made.
+    Only a local run, such as a test, may leave it unset; it then gets a folder of its own.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     made = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
+    spark.sparkContext.setCheckpointDir(made)
     return made
 
 

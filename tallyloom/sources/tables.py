@@ -7,6 +7,7 @@ table as it was, and queries that have begun keep their files.
 
 from __future__ import annotations
 
+import logging
 import time
 import uuid
 from collections.abc import Callable, Sequence
@@ -24,6 +25,8 @@ from tallyloom.operators.quality import enforce
 from tallyloom.operators.skew import heavy_keys, skew_join
 from tallyloom.operators.upsert import upsert
 
+log = logging.getLogger(__name__)
+
 # Partition column of a snapshot table: the first day of a period; rows without a date go to NO_DATE.
 PART = "_part"
 NO_DATE = "none"
@@ -231,11 +234,11 @@ def materialise(
     """Create or replace a table from a DataFrame, a function that builds one, or a file with a query.
 
     The table is repointed only when the new rows are written, so it may be read by the query itself.
-    Prints when it began and how long it took; returns the seconds.
+    Logs when it began and how long it took; returns the seconds.
     """
     name = f"{database or layers.analytics}.{table}"
     began = time.monotonic()
-    print(f"{name} started at {datetime.now():%Y-%m-%d %H:%M:%S}")
+    log.info("%s started at %s", name, datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
     if isinstance(query, (str, Path)):
         result = spark.sql(Path(query).read_text(encoding="utf-8"))
     else:
@@ -245,5 +248,5 @@ def materialise(
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
     seconds = time.monotonic() - began
-    print(f"{name} finished in {seconds:.0f} seconds")
+    log.info("%s finished in %d seconds", name, seconds)
     return seconds

@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.bindAddress": "127.0.0.1",
+            "spark.driver.host": "127.0.0.1",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,5 +1,6 @@
 """The loader: batches, upserts, tables."""
 
+import logging
 import random
 import uuid
 from collections import Counter
@@ -324,7 +325,8 @@ def test_create_table_conflicts(spark, layers):
         tables.create_table(spark, name, "a BIGINT", location, if_exists="MAYBE")
 
 
-def test_materialise(spark, layers, tmp_path, capsys):
+def test_materialise(spark, layers, tmp_path, caplog):
+    caplog.set_level(logging.INFO, logger=tables.__name__)
     name = f"{layers.analytics}.totals"
     tables.materialise(spark, layers, "totals", spark.range(3))
     tables.materialise(spark, layers, "totals", lambda: spark.table(name).selectExpr("sum(id) as id"))
@@ -333,8 +335,7 @@ def test_materialise(spark, layers, tmp_path, capsys):
     query.write_text(f"select id + 1 as id, 'й' as c from {name}", encoding="utf-8")
     assert tables.materialise(spark, layers, "totals", query) >= 0
     assert [tuple(r) for r in spark.table(name).collect()] == [(4, "й")]
-    printed = capsys.readouterr().out
-    assert printed.count("started at") == printed.count("finished in") == 3
+    assert caplog.text.count("started at") == caplog.text.count("finished in") == 3
     with pytest.raises(PySparkException):
         tables.materialise(spark, layers, "totals", spark.range(1).select(F.raise_error(F.lit("no")).alias("x")))
     assert spark.table(name).count() == 1
