@@ -26,10 +26,8 @@ def violations(df: DataFrame, columns: Sequence[SourceColumn], key: str | None =
     found = None
     if rules:
         counts = df.agg(*[F.count_if(broken).alias(f"rule_{n}") for n, (_, _, broken) in enumerate(rules)])
-        rows = [
-            F.struct(F.lit(name).alias("column_name"), F.lit(rule).alias("rule"), F.col(f"rule_{n}").alias("violations"))
-            for n, (name, rule, _) in enumerate(rules)
-        ]
+        names = [(F.lit(name).alias("column_name"), F.lit(rule).alias("rule")) for name, rule, _ in rules]
+        rows = [F.struct(*named, F.col(f"rule_{n}").alias("violations")) for n, named in enumerate(names)]
         found = counts.select(F.inline(F.array(*rows)))
     if key is not None:
         copies = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

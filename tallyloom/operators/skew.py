@@ -93,8 +93,9 @@ def skew_join(
 ) -> DataFrame:
     """Inner, left semi or left anti join of a possibly skewed ``big`` with ``small``.
 
-    Joined on ``key``, which ``heavy`` is about, and on the further columns ``also``. ``then`` is applied to each part before they are put together. It must treat every key on its own,
-    such as an aggregation by ``key``: the parts share no key.
+    Joined on ``key``, which ``heavy`` is about, and on the further columns ``also``. ``then`` is applied
+    to each part before they are put together. It must treat every key on its own, such as an aggregation
+    by ``key``: the parts share no key.
     """
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not do {how!r} joins")

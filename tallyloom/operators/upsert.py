@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.conform import LAUNCH_ID
@@ -45,8 +45,9 @@ def latest_launches(
     order = staged.sparkSession.createDataFrame(
         [(launch, n) for n, (_, launch) in enumerate(sorted(launches.items()))], f"{LAUNCH_ID} string, _order int"
     )
-    # At most one row per key and launch from here on, however many rows a key has.
-    seen = staged.where(F.col(key).isNotNull()).select(key, LAUNCH_ID).distinct().join(F.broadcast(order), LAUNCH_ID)
-    newest = F.max("_order").over(Window.partitionBy(key))
-    overtaken = seen.withColumn("_newest", newest).where("_order < _newest").select(key, LAUNCH_ID)
+    # The set of a key's launches is no longer than the list of periods, however many rows the key has.
+    in_order = F.sort_array(F.collect_set(F.struct("_order", LAUNCH_ID))).alias("seen")
+    seen = staged.where(F.col(key).isNotNull()).join(F.broadcast(order), LAUNCH_ID).groupBy(key).agg(in_order)
+    overtaken = seen.select(key, F.explode(F.slice("seen", 1, F.size("seen") - 1)).alias("launch"))
+    overtaken = overtaken.select(key, F.col(f"launch.{LAUNCH_ID}"))
     return skew_join(staged, overtaken, key, heavy, how="left_anti", also=[LAUNCH_ID])

@@ -82,7 +82,12 @@ def column_ddl(spark: SparkSession, columns: Sequence[SourceColumn]) -> str:
 
 
 def create_table(
-    spark: SparkSession, name: str, ddl: str, location: str, partition_by: str | None = None, if_exists: str | None = None
+    spark: SparkSession,
+    name: str,
+    ddl: str,
+    location: str,
+    partition_by: str | None = None,
+    if_exists: str | None = None,
 ) -> None:
     """Create an external table. A conflict is an error unless ``if_exists`` is ``KEEP`` or ``REPLACE``."""
     if if_exists not in (None, "KEEP", "REPLACE"):
@@ -117,7 +122,9 @@ class StagingTable:
             if_exists="KEEP",
         )
 
-    def append(self, batch: DataFrame, columns: Sequence[SourceColumn], launches: int, cluster_by: str | None = None) -> None:
+    def append(
+        self, batch: DataFrame, columns: Sequence[SourceColumn], launches: int, cluster_by: str | None = None
+    ) -> None:
         """Add tagged rows. Required columns and text lengths are checked as the rows are written.
 
         A single launch is written as it is read, without a shuffle. Several are rebalanced first, so

@@ -33,7 +33,8 @@ def make_rows(rng, n, ids=None):
     for i in range(n):
         created = datetime(2024, 1, 1) + timedelta(hours=rng.randrange(0, 30 * 24))
         updated = created + timedelta(hours=rng.randrange(0, 12 * 24)) if rng.random() < 0.7 else None
-        rows.append((i if ids is None else rng.choice(ids), f"name {i}", created if rng.random() < 0.95 else None, updated))
+        key = i if ids is None else rng.choice(ids)
+        rows.append((key, f"name {i}", created if rng.random() < 0.95 else None, updated))
     return rows
 
 
@@ -172,7 +173,7 @@ def test_catalogue_columns(spark):
         ("db", "other", "shifts", "x", "NO", "bigint"),
         ("other", "public", "shifts", "y", "NO", "bigint"),
     ]
-    names = "table_catalog string, table_schema string, table_name string, column_name string, is_nullable string, data_type string"
+    names = ["table_catalog", "table_schema", "table_name", "column_name", "is_nullable", "data_type"]
     catalogue = spark.createDataFrame(rows, names)
     found = con.catalogue_columns(catalogue, "public", "shifts", "db")
     assert found == [con.SourceColumn("id", "bigint", False), con.SourceColumn("role_id", "integer", True)]
@@ -207,7 +208,8 @@ def test_completeness(spark):
     schema = "ts timestamp_ntz"
     source = spark.createDataFrame([(datetime(2024, 1, 1, 5),), (datetime(2024, 1, 2),), (None,)], schema)
     target = spark.createDataFrame([(datetime(2024, 1, 1),), (datetime(2024, 1, 3),), (None,)], schema)
-    assert bag(quality.completeness(source, target, "ts"), "period", "source_rows", "target_rows", "complete") == Counter(
+    found = quality.completeness(source, target, "ts")
+    assert bag(found, "period", "source_rows", "target_rows", "complete") == Counter(
         [
             (date(2024, 1, 1), 1, 1, True),
             (date(2024, 1, 2), 1, 0, False),

@@ -25,8 +25,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, duck, sample_dir, name):
+def check(spark, duck, sample_dir, name):
     result = QUERIES[name](spark, sample_dir)
     cursor = duck.execute(ORACLE[name])
     columns = [d[0] for d in cursor.description]
@@ -36,3 +35,18 @@ def test_query(spark, duck, sample_dir, name):
     assert len(found) == len(expected)
     assert found == expected
     assert found
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, duck, sample_dir, name):
+    check(spark, duck, sample_dir, name)
+
+
+@pytest.mark.parametrize("name", ["calendar", "load_periods", "mv_shifts_agg", "status_days", "extract_period_updated"])
+def test_query_in_another_time_zone(spark, duck, sample_dir, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        check(spark, duck, sample_dir, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

@@ -44,7 +44,8 @@ def make_history(rng, shifts):
     for shift in shifts:
         for _ in range(rng.randrange(6)):
             moment = datetime(2024, 1, 1) + timedelta(hours=rng.randrange(-100, 20 * 24, 4))
-            rows.append((shift[0], rng.randrange(3), moment if rng.random() < 0.95 else None, rng.choice([0, 5, 10, 10])))
+            moment = moment if rng.random() < 0.95 else None
+            rows.append((shift[0], rng.randrange(3), moment, rng.choice([0, 5, 10, 10])))
     return rows
 
 
