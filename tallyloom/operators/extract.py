@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import period_day
@@ -78,6 +79,17 @@ def extract(
     return conform(source, columns, clean=True).withColumn(LAUNCH_ID, F.lit(launch_id))
 
 
+def launch_table(spark: SparkSession, launches: dict[date, str]) -> DataFrame:
+    """Launches with their period and their place in the order of periods."""
+    periods = sorted(launches)
+    columns = {
+        "_period": pa.array(periods, pa.date32()),
+        LAUNCH_ID: pa.array([launches[p] for p in periods], pa.string()),
+        "_order": pa.array(range(len(periods)), pa.int32()),
+    }
+    return spark.createDataFrame(pa.table(columns))
+
+
 def extract_periods(
     source: DataFrame,
     launches: dict[date, str],
@@ -99,7 +111,7 @@ def extract_periods(
     if has_updates(columns):
         period = F.explode(F.array_distinct(F.array(period, period_day(F.col(UPDATED_AT), unit))))
     tagged = changed.withColumn("_period", period)
-    named = source.sparkSession.createDataFrame(sorted(launches.items()), f"_period date, {LAUNCH_ID} string")
+    named = launch_table(source.sparkSession, launches).select("_period", LAUNCH_ID)
     staged = tagged.join(F.broadcast(named), "_period")
     tag = SourceColumn(LAUNCH_ID, "uuid", False)
     return conform(staged, [*columns, tag], clean=True).select(*sorted(c.name for c in columns), LAUNCH_ID)

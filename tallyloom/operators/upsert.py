@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators.conform import LAUNCH_ID
+from tallyloom.operators.extract import launch_table
 from tallyloom.operators.skew import heavy_keys, skew_join
 
 
@@ -42,9 +43,7 @@ def latest_launches(
         return staged
     if heavy is None:
         heavy = heavy_keys(staged, key)
-    order = staged.sparkSession.createDataFrame(
-        [(launch, n) for n, (_, launch) in enumerate(sorted(launches.items()))], f"{LAUNCH_ID} string, _order int"
-    )
+    order = launch_table(staged.sparkSession, launches).select(LAUNCH_ID, "_order")
     # The set of a key's launches is no longer than the list of periods, however many rows the key has.
     in_order = F.sort_array(F.collect_set(F.struct("_order", LAUNCH_ID))).alias("seen")
     seen = staged.where(F.col(key).isNotNull()).join(F.broadcast(order), LAUNCH_ID).groupBy(key).agg(in_order)

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from tallyloom.operators import calendar as cal
 from tallyloom.operators import conform as con
 from tallyloom.operators import extract as ext
-from tallyloom.operators import quality
+from tallyloom.operators import quality, skew
+from tallyloom.operators import upsert as upsert_module
 from tallyloom.operators.upsert import latest_launches, upsert
 from tallyloom.plans import load
 from tallyloom.sources import delimited, jdbc, tables
@@ -230,13 +231,18 @@ def snapshot_of(spark, layers, table="things"):
     return spark.table(f"{layers.snapshot}.{table}").drop(tables.PART)
 
 
-def test_daily_loads_equal_one_long_load(spark, tmp_path):
+@pytest.mark.parametrize("least", [skew.MIN_HEAVY_ROWS, 1])
+def test_daily_loads_equal_one_long_load(spark, tmp_path, monkeypatch, least):
+    """Also with a key and missing keys that count as heavy: a third of the rows each."""
+    for module in (tables, upsert_module):
+        monkeypatch.setattr(module, "heavy_keys", lambda df, *keys: skew.heavy_keys(df, *keys, min_rows=least))
     rng = random.Random(9)
-    rows = make_rows(rng, 80, [*range(30), None])
+    rows = make_rows(rng, 80, [*range(10), *[3] * 10, *[None] * 10])
     source = spark.createDataFrame(rows, SCHEMA)
     results = []
-    for n, ranges in enumerate(([(20240101, 20240120)], [(20240101, 20240109), (20240110, 20240120)])):
-        layers = tables.Layers(f"{tmp_path}/{n}", f"saa{n}", f"snp{n}", f"analytics{n}", f"engine{n}")
+    for ranges in ([(20240101, 20240120)], [(20240101, 20240109), (20240110, 20240120)]):
+        tag = uuid.uuid4().hex[:8]
+        layers = tables.Layers(f"{tmp_path}/{tag}", f"saa{tag}", f"snp{tag}", f"analytics{tag}", f"engine{tag}")
         loader = load.Loader(spark, layers)
         for start, end in ranges:
             loader.load(SPEC, source, start, end)
