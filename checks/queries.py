@@ -92,16 +92,21 @@ def shift_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shifts.shift_days(shifts_base(spark, sf_dir), CALENDAR)
 
 
-def status_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, history, _, _ = _mart_inputs(spark, sf_dir)
+def _intervals(spark: SparkSession, sf_dir: str, history: DataFrame, heavy: list[Any]) -> DataFrame:
+    # A pair has no more rows than its shift, so only with a heavy shift can there be a heavy pair.
     lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey as shift_id", "l_suppkey as employee_id")
-    return intervals.status_intervals(history, skew.heavy_keys(lines, *intervals.PAIR))
+    return intervals.status_intervals(history, skew.heavy_keys(lines, *intervals.PAIR) if heavy else [])
+
+
+def status_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, history, _, heavy = _mart_inputs(spark, sf_dir)
+    return _intervals(spark, sf_dir, history, heavy)
 
 
 def status_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shift_rows, _, _, heavy = _mart_inputs(spark, sf_dir)
+    shift_rows, history, _, heavy = _mart_inputs(spark, sf_dir)
     spans = shifts.shift_spans(shifts.shifts_base(shift_rows), CALENDAR)
-    return intervals.status_days(status_intervals(spark, sf_dir), spans, heavy)
+    return intervals.status_days(_intervals(spark, sf_dir, history, heavy), spans, heavy)
 
 
 def status_asof(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,6 +120,13 @@ def as_text(df: DataFrame, name: str) -> Column:
     return F.to_json(name) if nested else F.col(name).cast("string")
 
 
+def as_time(df: DataFrame, name: str) -> Column:
+    """``HH:mm:ss`` of a time of day, which a database may hand over as a timestamp."""
+    text = F.col(name).cast("string")
+    is_timestamp = isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType))
+    return F.substring(text, len("yyyy-mm-dd ") + 1, len("HH:mm:ss")) if is_timestamp else text
+
+
 def string_profile(df: DataFrame, columns: Sequence[SourceColumn] | None = None) -> DataFrame:
     """``(column_name, max_size)`` for every text column, all measured in one pass."""
     measured = _measured(columns or source_columns(df))
@@ -146,7 +153,10 @@ def conform(df: DataFrame, columns: Sequence[SourceColumn] | None = None, clean:
     selected = []
     for column in sorted(columns or source_columns(df), key=lambda c: c.name):
         target = spark_type(df.sparkSession, column)
-        value = as_text(df, column.name) if target == "string" else F.col(column.name).cast(target)
+        if loaded_type(column) == "time":
+            value = as_time(df, column.name).cast(target)
+        else:
+            value = as_text(df, column.name) if target == "string" else F.col(column.name).cast(target)
         if clean and column.data_type.lower() in CLEANED_TYPES:
             value = clean_newlines(value)
         selected.append(value.alias(column.name))

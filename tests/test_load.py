@@ -5,7 +5,7 @@ import random
 import uuid
 from collections import Counter
 from dataclasses import replace
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -150,6 +150,17 @@ def test_conform(spark):
     assert (row.b, row.c, row.g) == ("x y", "[1,null]", "p\r\nq")
 
 
+@pytest.mark.parametrize("enabled, expected", [("false", "10:11:12"), ("true", time(10, 11, 12))])
+def test_times_of_day(spark, enabled, expected):
+    spark.conf.set("spark.sql.timeType.enabled", enabled)
+    try:
+        df = spark.sql("select '10:11:12' as a, timestamp_ntz'1970-01-01 10:11:12' as b, cast(null as string) as c")
+        columns = [con.SourceColumn(n, "time without time zone") for n in df.columns]
+        assert tuple(con.conform(df, columns).first()) == (expected, expected, None)
+    finally:
+        spark.conf.unset("spark.sql.timeType.enabled")
+
+
 def test_unsupported_types_name_the_column(spark):
     with pytest.raises(ValueError, match="moment.*timestamp with time zone"):
         con.conform(spark.sql("select timestamp'2024-01-01 00:00:00' as moment"))
