@@ -21,13 +21,20 @@ def without_keys(rows: DataFrame, batch: DataFrame, key: str, heavy: Sequence[An
     return skew_join(rows, batch.select(key).distinct(), key, heavy, how="left_anti")
 
 
-def upsert(snapshot: DataFrame, batch: DataFrame, key: str = "id", heavy: Sequence[Any] | None = None) -> DataFrame:
+def upsert(
+    snapshot: DataFrame,
+    batch: DataFrame,
+    key: str = "id",
+    heavy: Sequence[Any] | None = None,
+    staged: DataFrame | None = None,
+) -> DataFrame:
     """``snapshot`` with the rows of all keys in ``batch`` replaced by those of ``batch``.
 
     All rows of the batch go in, also several of one key or with a NULL key; keys that the batch does
-    not mention are left alone.
+    not mention are left alone. If ``batch`` was picked from ``staged`` rows with the same set of keys,
+    the keys are read from there, without doing the picking twice.
     """
-    return without_keys(snapshot, batch, key, heavy).unionByName(batch)
+    return without_keys(snapshot, batch if staged is None else staged, key, heavy).unionByName(batch)
 
 
 def latest_launches(
@@ -35,9 +42,9 @@ def latest_launches(
 ) -> DataFrame:
     """What is left of ``staged`` once its launches have been upserted one after the other.
 
-    A row is dropped if its key was staged again by a later launch; a NULL key never is. Only the
-    (usually few) overtaken pairs of key and launch are joined back, so the staged rows themselves
-    need no ordering.
+    A row is dropped if its key was staged again by a later launch; a NULL key never is. So every key
+    of ``staged`` is still there. Only the (usually few) overtaken pairs of key and launch are joined
+    back, so the staged rows themselves need no ordering.
     """
     if len(launches) < 2:
         return staged

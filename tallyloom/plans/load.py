@@ -66,7 +66,7 @@ def incremental_snapshot(
     if heavy is None:
         heavy = list({*heavy_keys(source, key), *heavy_keys(snapshot, key)})
     staged = extract_periods(source, launches, field, unit, columns)
-    return upsert(snapshot, latest_launches(staged, launches, key, heavy), key, heavy)
+    return upsert(snapshot, latest_launches(staged, launches, key, heavy), key, heavy, staged)
 
 
 class Loader:
@@ -124,7 +124,8 @@ class Loader:
         batch = extract_periods(source, launches, spec.partitioning_field, spec.date_trunc, found)
         staging.append(batch, found, len(launches), spec.clustering_field)
         staged = staging.read(list(launches.values()))
-        rewritten = snapshot.upsert(latest_launches(staged, launches, spec.key), next(reversed(launches.values())))
+        latest = latest_launches(staged, launches, spec.key)
+        rewritten = snapshot.upsert(latest, next(reversed(launches.values())), staged)
         return LoadResult(dict(launches), rewritten)
 
     def load_full(

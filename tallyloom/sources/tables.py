@@ -178,10 +178,11 @@ class SnapshotTable:
             return df.withColumn(PART, F.lit(NO_DATE))
         return df.withColumn(PART, F.coalesce(period_day(F.col(self.field), self.unit).cast("string"), F.lit(NO_DATE)))
 
-    def upsert(self, batch: DataFrame, version: str) -> list[str]:
+    def upsert(self, batch: DataFrame, version: str, staged: DataFrame | None = None) -> list[str]:
         """Replace the rows of all keys in ``batch``; returns the partitions that were rewritten.
 
-        ``batch`` should be a table that has been written (a staged launch): it is read more than once.
+        ``batch`` should come from a table that has been written (staged launches): it is read more than
+        once. ``staged`` are the rows it was picked from, with the same keys.
         Finding the partitions reads only the key of the snapshot. Their names are all the driver gets,
         at most one short string per calendar day.
         """
@@ -192,7 +193,7 @@ class SnapshotTable:
         heavy: list[Any] = []
         if known:
             heavy = heavy_keys(current, self.key)
-            keys = batch.select(self.key).distinct()
+            keys = (batch if staged is None else staged).select(self.key).distinct()
             losing = skew_join(current.select(self.key, PART), keys, self.key, heavy, how="left_semi")
             changes = changes.unionByName(losing.select(PART, F.lit(False).alias("gains")))
         gains = {part: gaining for part, gaining in changes.groupBy(PART).agg(F.max("gains")).collect()}
@@ -200,7 +201,7 @@ class SnapshotTable:
             return []
         merged = batch
         if known:
-            merged = upsert(current.where(F.col(PART).isin(sorted(gains))), batch, self.key, heavy)
+            merged = upsert(current.where(F.col(PART).isin(sorted(gains))), batch, self.key, heavy, staged)
         path = f"{self.layers.location(self.layers.snapshot, self.table)}/v={version}"
         (
             merged.hint("rebalance", PART)
