@@ -4,13 +4,22 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import tokens
+from tallyloom.llm import langid, tokens
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(langid.learned_from()))
+    held_out = F.coalesce(~langid.learned_from(), F.lit(False))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -18,6 +27,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
 }
 
