@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import langid, simhash, tokens
+from tallyloom.llm import langid, mixing, simhash, tokens
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -26,6 +26,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, path, TOKEN_LIMIT).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -33,6 +38,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
+    "op7_mixing": op7_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
