@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import langid, mixing, simhash, tokens
+from tallyloom.llm import langid, licenses, mixing, simhash, tokens
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -26,6 +26,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, path, TOKEN_LIMIT).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -38,8 +42,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_token_counts": op3_token_counts,
+    "op5_license_scan": op5_license_scan,
     "op7_mixing": op7_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_license_scan": licenses.ORACLE_SQL,
+}
