@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import langid, licenses, mixing, simhash, tokens
+from tallyloom.llm import langid, licenses, mixing, simhash, tokens, topk
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -20,6 +20,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -41,6 +46,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_exact_topk": op2_exact_topk,
     "op3_token_counts": op3_token_counts,
     "op5_license_scan": op5_license_scan,
     "op7_mixing": op7_mixing,
@@ -48,5 +54,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_exact_topk": topk.ORACLE_SQL,
     "op5_license_scan": licenses.ORACLE_SQL,
 }
