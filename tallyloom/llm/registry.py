@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import langid, licenses, mixing, simhash, tokens, topk
+from tallyloom.llm import decontaminate, langid, licenses, mixing, simhash, tokens, topk
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -31,6 +31,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(docs, path, TOKEN_LIMIT).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -48,6 +53,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_topk": op2_exact_topk,
     "op3_token_counts": op3_token_counts,
+    "op4_decontamination": op4_decontamination,
     "op5_license_scan": op5_license_scan,
     "op7_mixing": op7_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

@@ -30,7 +30,16 @@ def _lower_table() -> np.ndarray:
     return table
 
 
+def _mark_table() -> np.ndarray:
+    """All of ASCII but digits and small letters (texts are lower-cased before it is used)."""
+    table = np.zeros(256, bool)
+    table[:128] = True
+    table[48:58] = table[97:123] = False
+    return table
+
+
 IS_SPACE = _space_table()
+IS_MARK = _mark_table()
 LOWER = _lower_table()
 
 
@@ -59,8 +68,8 @@ class Words:
         ]
 
 
-def split_words(texts: Sequence[str | None], lower: bool = False) -> Words:
-    """Maximal runs of bytes other than ASCII white space; a null text has none.
+def split_words(texts: Sequence[str | None], lower: bool = False, between: np.ndarray = IS_SPACE) -> Words:
+    """Maximal runs of bytes that are not ``between`` words (ASCII white space); a null text has none.
 
     ``lower`` turns A-Z into a-z first. Other letters stay as they are.
     """
@@ -70,7 +79,7 @@ def split_words(texts: Sequence[str | None], lower: bool = False) -> Words:
         data = LOWER[data]
     begins = np.zeros(len(encoded) + 1, np.int64)
     np.cumsum([len(e) + 1 for e in encoded], out=begins[1:])
-    space = IS_SPACE[data]
+    space = between[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(data) and not space[0]:
         edge = np.concatenate(([0], edge))
