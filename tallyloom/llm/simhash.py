@@ -241,7 +241,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     """
     known = keep(docs.select(F.col(key).alias("key"), fingerprint(F.col(text)).alias("fp")), "fingerprints")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return known.join(fingerprint_classes(known, "fp", "key"), "fp").select(
+    # Both sides of the last join are plain reads, so that a fingerprint with very many rows can be split.
+    classes = keep(fingerprint_classes(known, "fp", "key"), "classes")
+    return known.join(classes, "fp").select(
         F.col("key").alias(key), digits.alias("fingerprint"), F.col("least").alias("component_id")
     )
 
