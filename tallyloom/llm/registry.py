@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, langid, licenses, mixing, simhash, tokens, topk
+from tallyloom.llm import decontaminate, langid, licenses, mixing, simhash, tokens, topk, toxicity
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -40,6 +40,16 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+#: Categories of the chain, in order: a text full of junk is judged before its tone is.
+CATEGORIES = {"low_quality": F.expr("quality = 0"), "toxic": F.expr("toxic = 1")}
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit(docs, read_table(spark, sf_dir, "labels"), CATEGORIES)
+    return toxicity.predict(docs, chain)
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -55,6 +65,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_license_scan": op5_license_scan,
+    "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
