@@ -31,14 +31,15 @@ BUCKET_BITS = 20
 LEVELS = (1, 2, 4)
 PREFIXES = (4, 5, 6, 7)
 SUFFIX = 3
-FEATURES = 6000
+FEATURES = 2000
 #: Texts of a sample that a feature must occur in.
 LEAST_TEXTS = 3
 SAMPLE_ROWS = 5000
 FOLDS = 3
-PENALTY = 0.02
+PENALTY = 1e-5
 ITERATIONS = 60
-THRESHOLD = 0.5
+#: Missing a text costs more than looking at one in vain.
+THRESHOLD = 0.2
 BLOCK_TEXTS = 256
 
 
@@ -164,8 +165,8 @@ def fit_linear(row: np.ndarray, code: np.ndarray, wanted: np.ndarray, earlier: n
         value = (np.logaddexp(0, margin) - wanted * margin).sum()
         off = sigmoid(margin) - wanted
         gradient = np.concatenate([np.bincount(c, off[r], k), earlier.T @ off, [off.sum()]])
-        gradient[:-1] += PENALTY * n * 0.05 * p[:-1]
-        return value + PENALTY * n * 0.05 * (p[:-1] @ p[:-1]) / 2, gradient
+        gradient[:-1] += PENALTY * n * p[:-1]
+        return value + PENALTY * n * (p[:-1] @ p[:-1]) / 2, gradient
 
     p = minimise(loss, np.zeros(k + earlier.shape[1] + 1))
     return Linear(chosen, p[:k], p[k:-1], float(p[-1]))
