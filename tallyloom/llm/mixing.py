@@ -30,7 +30,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3
 WEIGHTS = 3
 #: Documents of one cell at most, about; larger ones are cut into blocks.
-BLOCK_DOCS = 4096
+BLOCK_DOCS = 512
 MAX_ROUNDS = 60
 #: A source is done when its expected words are this close to its target, as a share of its size.
 CLOSE = 1e-7
