@@ -34,7 +34,7 @@ from tallyloom.llm.common import keep, one_thread
 SCALE = 64
 SEGMENTS = (1, 4, 16)
 QUERY_BLOCK = 1024
-CANDIDATE_BLOCK = 8192
+CANDIDATE_BLOCK = 4096
 #: Candidates that all queries are scored against first; a bound of the broadcast, not of the search.
 SAMPLE = 2048
 EXACT_FLOAT = float(1 << 53)
@@ -150,10 +150,10 @@ def top_k(
     )
     dealt = rows.join(blocks, F.col("dim") == F.col("d")).drop("d")
     place = F.xxhash64("id", "row")
-    candidates = dealt.withColumn("cb", F.pmod(place, F.col("candidate_blocks"))).withColumn(
+    candidates = dealt.withColumn("cb", F.pmod(place, F.col("candidate_blocks")).cast("int")).withColumn(
         "qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1))
     ).where("query_blocks > 0")
-    queries = dealt.where("query").withColumn("qb", F.pmod(place, F.col("query_blocks"))).withColumn(
+    queries = dealt.where("query").withColumn("qb", F.pmod(place, F.col("query_blocks")).cast("int")).withColumn(
         "cb", F.explode(F.sequence(F.lit(0), F.col("candidate_blocks") - 1))
     )
     sample = [(r["id"], r["v"]) for r in rows.orderBy(F.xxhash64("row")).select("id", "v").limit(SAMPLE).collect()]
