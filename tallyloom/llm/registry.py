@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, langid, licenses, mixing, simhash, tokens, topk, toxicity
+from tallyloom.llm import chat, decontaminate, langid, licenses, mixing, simhash, tokens, topk, toxicity
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -59,6 +59,11 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    return chat.link(chat.as_tool_traffic(conversations), chat.REPLY)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_topk": op2_exact_topk,
@@ -68,9 +73,11 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE: dict[str, str] = {
     "op2_exact_topk": topk.ORACLE_SQL,
     "op5_license_scan": licenses.ORACLE_SQL,
+    "op10_chat_formatting": chat.ORACLE_SQL,
 }
