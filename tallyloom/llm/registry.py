@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, langid, licenses, mixing, simhash, tokens, topk, toxicity
+from tallyloom.llm import chat, decontaminate, langid, licenses, mixing, simhash, substrings, tokens, topk, toxicity
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -55,6 +55,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -72,6 +77,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_toxicity": op6_toxicity,
     "op7_mixing": op7_mixing,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_chat_formatting": op10_chat_formatting,
 }
