@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import keep
+from tallyloom.llm.common import keep, new_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3
@@ -137,7 +137,29 @@ def multipliers(cells: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """(key, size, source_size, target, copies, taken) of every document."""
-    numbered = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("source"), size_of(F.col(text)).alias("size"))
+    numbered = docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
+        size_of(F.col(text)).alias("size"),
+    )
+    return row_mix(numbered).select(F.col("key").alias(key), "size", "source_size", "target", "copies", "taken")
+
+
+def with_copies(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+    """``docs`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken``; columns of these names are replaced."""
+    row = new_name("_row", docs.columns)
+    # Rows get their number once, as the texts are read a second time for the join.
+    known = keep(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = known.select(
+        F.col(row).alias("row"), F.col(key).alias("key"), F.col(source).cast("string").alias("source"), size_of(F.col(text)).alias("size")
+    )
+    new = ("size", "source_size", "target", "copies", "taken")
+    mixed = row_mix(numbered).select(F.col("row").alias(row), *new)
+    kept = [c for c in known.columns if c.lower() not in new]
+    return known.select(*kept).join(mixed, row).drop(row)
+
+
+def row_mix(numbered: DataFrame) -> DataFrame:
+    """The mix of (row, key, source, size), row by row."""
     sized = keep(numbered.withColumn("draw", F.xxhash64(F.lit("mixing"), F.col("key").cast("string"))), "sizes")
     counted = keep(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("docs")), "cells")
     by_source = counted.groupBy("source").agg(
@@ -174,7 +196,7 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str =
     ranked = placed.withColumn("rank", rank)
     copies = F.floor("rate") + F.when(F.col("rank") <= F.col("more"), 1).otherwise(0)
     return ranked.join(dealt, F.expr("source <=> s and size = z and block = b")).select(
-        F.col("key").alias(key), "size", "source_size", "target",
+        "row", "key", "size", "source_size", "target",
         F.least(copies, F.lit(MOST)).cast("long").alias("copies"),
         (F.least(copies, F.lit(MOST)) * F.col("size")).cast("long").alias("taken"),
     )

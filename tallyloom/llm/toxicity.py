@@ -252,8 +252,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Column], te
     return fit_chain(names, row, np.concatenate(features), marks, fold)
 
 
-def predict(docs: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``p_<category>`` and ``<category>`` (TRUE from ``threshold`` on) for each category."""
+def probabilities(docs: DataFrame, chain: Chain, text: str = "text") -> Column:
+    """Struct of the probabilities ``p_<category>`` of a text column."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     names = [f"p_{c}" for c in chain.categories]
 
@@ -268,9 +268,22 @@ def predict(docs: DataFrame, chain: Chain, text: str = "text", threshold: float
             ]
             yield pd.DataFrame(np.concatenate(parts) if parts else np.zeros((0, len(names))), columns=names)
 
+    return scored(F.col(text))
+
+
+def is_category(docs: DataFrame, chain: Chain, category: str, text: str = "text", threshold: float = THRESHOLD) -> Column:
+    return probabilities(docs, chain, text)[f"p_{category}"] >= threshold
+
+
+def predict(docs: DataFrame, chain: Chain, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` with ``p_<category>`` and ``<category>`` (TRUE from ``threshold`` on) for each category.
+
+    Columns of these names are replaced.
+    """
+    names = [f"p_{c}" for c in chain.categories]
     at = new_name("_scored", docs.columns)
     new = {n.lower() for n in (*names, *chain.categories)}
-    found = docs.withColumn(at, scored(F.col(text)))
+    found = docs.withColumn(at, probabilities(docs, chain, text))
     return found.select(
         *[F.col(c) for c in docs.columns if c.lower() not in new],
         *[F.col(at)[n].alias(n) for n in names],
