@@ -33,8 +33,9 @@ SPAN = len(MASKS[0])
 MIN_WORDS = 13
 MIN_SHARE = 0.8
 MISMATCH = 3
-#: Places of the bitmap per seed of the index, and its largest size (as a power of two).
-PLACES_PER_SEED = 64
+#: Places that a seed takes in the bitmap, places of the bitmap per seed, and its largest size (as a power of two).
+PROBES = 3
+PLACES_PER_SEED = 256
 MAX_PLACE_BITS = 26
 
 
@@ -67,15 +68,21 @@ def seed_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+def place_shifts(bits: int) -> list[int]:
+    """How far a hash is shifted right for each of its places, so that they come from different bits of it."""
+    return [64 - bits - j * (64 - MAX_PLACE_BITS) // (PROBES - 1) for j in range(PROBES)]
+
+
 def bitmap(index: DataFrame) -> np.ndarray:
     """Bits of the places that hashes of the index take; combined by Spark, so the driver gets the bitmap only."""
     wanted = max(index.count(), 1) * PLACES_PER_SEED
     bits = min(MAX_PLACE_BITS, max(16, int(wanted - 1).bit_length()))
-    place = F.shiftrightunsigned("hash", 64 - bits)
+    mask = F.lit((1 << bits) - 1).cast("long")
+    places = F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(mask) for s in place_shifts(bits)])
     words = (
-        index.select(F.shiftrightunsigned(place, 6).alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
-        .groupBy("word")
-        .agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+        index.select(F.explode(places).alias("place"))
+        .groupBy(F.shiftrightunsigned("place", 6).alias("word"))
+        .agg(F.expr("bit_or(shiftleft(1L, int(place % 64)))").alias("bits"))
         .toPandas()
     )
     out = np.zeros((1 << bits) // 64, np.int64)
@@ -84,9 +91,15 @@ def bitmap(index: DataFrame) -> np.ndarray:
 
 
 def passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """TRUE for hashes all of whose places are taken."""
     bits = (len(table) * 64).bit_length() - 1
-    place = (hashes >> np.uint64(64 - bits)).view(np.int64)
-    return (table[place >> 6] >> (place & 63)) & 1 == 1
+    flat = hashes.reshape(-1)
+    out, alive = np.zeros(flat.shape, bool), np.arange(flat.size)
+    for s in place_shifts(bits):
+        place = ((flat[alive] >> np.uint64(s)) & np.uint64((1 << bits) - 1)).view(np.int64)
+        alive = alive[(table[place >> 6] >> (place & 63)) & 1 == 1]
+    out[alive] = True
+    return out.reshape(hashes.shape)
 
 
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
