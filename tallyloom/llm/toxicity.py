@@ -39,7 +39,7 @@ FOLDS = 3
 PENALTY = 1e-5
 ITERATIONS = 60
 #: Missing a text costs more than looking at one in vain.
-THRESHOLD = 0.2
+THRESHOLD = 0.25
 BLOCK_TEXTS = 256
 
 
