@@ -245,11 +245,15 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Column], te
     if not sample:
         return Chain(names, [Linear(np.empty(0, np.int32), np.empty(0), np.zeros(j), -50.0) for j in range(len(names))])
     one_thread()
-    features = [np.frombuffer(r["codes"], np.int32) for r in sample]
-    row = np.repeat(np.arange(len(sample)), [len(f) for f in features])
     marks = np.array([r["marks"] for r in sample], float)
     fold = np.array([r["draw"] % FOLDS for r in sample])
-    return fit_chain(names, row, np.concatenate(features), marks, fold)
+    features = [np.frombuffer(r["codes"], np.int32) for r in sample]
+    row = np.repeat(np.arange(len(sample), dtype=np.int32), [len(f) for f in features])
+    code = np.concatenate(features)
+    # Most features are those of one text; they go first, for the driver's memory.
+    del sample, features
+    common = (np.bincount(code, minlength=1) >= LEAST_TEXTS)[code]
+    return fit_chain(names, row[common], code[common], marks, fold)
 
 
 def probabilities(docs: DataFrame, chain: Chain, text: str = "text") -> Column:
