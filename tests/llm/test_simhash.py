@@ -1,0 +1,117 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from helpers import documents, empty, with_clashes
+from tallyloom.llm import simhash
+from tallyloom.llm.components import components
+
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOW))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    counts = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            counts[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * counts[b] > len(shingles))
+
+
+def plain_components(fps):
+    """Smallest position reachable, by comparing all pairs."""
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= 3:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(fps))]
+
+
+def texts():
+    rng = random.Random(1)
+    words = ["w%d" % i for i in range(300)]
+    base = [" ".join(rng.choices(words, k=60)) for _ in range(12)]
+    near = [b.replace(b.split()[7], "Other", 1) for b in base for _ in range(2)]
+    return base + near + base[:4] + [None, "", " \t ", "one", "one Two", "ONE two", "ÉTÉ été", "a b c " * 500]
+
+
+def test_whole_result_against_brute_force(spark):
+    all_texts = texts()
+    fps = [plain_fingerprint(t) for t in all_texts]
+    rows = simhash.near_duplicates(with_clashes(documents(spark, all_texts))).orderBy("doc_id").collect()
+    assert [r["fingerprint"] for r in rows] == [f"{f:016x}" for f in fps]
+    assert [r["component_id"] for r in rows] == plain_components(fps)
+
+
+def test_one_of_each_group_stays(spark):
+    all_texts = texts()
+    docs = with_clashes(documents(spark, all_texts))
+    docs = docs.unionByName(docs.where("doc_id = 0"))  # an equal row
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    expected = sorted(set(plain_components([plain_fingerprint(t) for t in all_texts])))
+    assert sorted(r["doc_id"] for r in kept.collect()) == expected
+
+
+def test_null_ids_sort_last(spark):
+    docs = documents(spark, ["a b c d", "a b c d", "e f g h"], ids=[None, 7, None])
+    rows = {(r["doc_id"], r["component_id"]) for r in simhash.near_duplicates(docs).collect()}
+    assert rows == {(None, 7), (7, 7), (None, None)}
+    assert sorted((r["doc_id"] or -1) for r in simhash.keep_one(docs).collect()) == [-1, 7]
+
+
+def test_empty_table(spark):
+    none = empty(documents(spark, ["a"]))
+    assert simhash.near_duplicates(none).collect() == [] and simhash.keep_one(none).collect() == []
+
+
+@pytest.mark.parametrize("square", [4, 1024])
+def test_links_of_random_fingerprints(spark, monkeypatch, square):
+    monkeypatch.setattr(simhash, "SQUARE", square)
+    rng = random.Random(2)
+    fps = {rng.getrandbits(64) for _ in range(40)}
+    for f in list(fps):
+        for _ in range(10):
+            fps.add(f ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(1, 5))) & (1 << 64) - 1)
+    fps = sorted(f & (1 << 64) - 1 for f in fps)
+    expected = plain_components(fps)
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    links = simhash.fingerprint_links(spark.createDataFrame([(f,) for f in signed], "fp long"))
+    roots = {r["node"]: r["root"] for r in components(links).collect()}
+    groups = {}
+    for f, e in zip(signed, expected):
+        groups.setdefault(roots.get(f, f), set()).add(e)
+    assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(expected))
+
+
+def test_blocks_agree_whatever_three_bits_differ():
+    masks = simhash.deals()
+    assert len(masks) == 20
+    rng = random.Random(3)
+    for _ in range(500):
+        a = rng.getrandbits(64)
+        b = a
+        for bit in rng.sample(range(64), 3):
+            b ^= 1 << bit
+        assert any(a & m == b & m for m in masks)
+
+
+def test_components_of_a_long_chain(spark):
+    n = 300
+    order = random.Random(4).sample(range(n), n)
+    links = spark.createDataFrame([(order[i], order[i + 1]) for i in range(n - 1)] + [(999, 1000), (5, 5)], "u long, v long")
+    found = {r["node"]: r["root"] for r in components(links).collect()}
+    assert found == {**{i: 0 for i in range(1, n)}, 1000: 999}
