@@ -40,9 +40,9 @@ Schema = Mapping[str, tuple[str, bool]]
 
 
 def quoted(text: Column) -> Column:
-    """A string as JSON."""
+    """A string as JSON, null for null."""
     inside = F.to_json(F.array(text))
-    return F.substring(inside, F.lit(2), F.length(inside) - 2)
+    return F.when(text.isNotNull(), F.substring(inside, F.lit(2), F.length(inside) - 2))
 
 
 def errors(name: Column, arguments: Column, parsed: Column, schemas: Mapping[str, Schema]) -> Column:

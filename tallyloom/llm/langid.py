@@ -2,7 +2,8 @@
 
 The kernel of two texts is the number of character n-grams of one to four characters present in both, over
 the root of the product of their own numbers (a blended-spectrum presence kernel). N-grams are hashed to a
-fixed number of places per order; letters are lower-cased and all else counts as a space.
+fixed number of places per order. Letters are lower-cased; what is no letter counts as a space, save characters
+beyond the basic plane, which stay as they are.
 
 Learning: a bounded sample of the labelled rows is turned into presence bits by Spark tasks. A few of them,
 the same number for each language, are the landmarks. The Nystroem map takes a text to its kernel values
@@ -141,7 +142,9 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch[[has_letters(t) for t in batch["_text"]]]
+            batch = batch[np.array([has_letters(t) for t in batch["_text"]], bool)]
+            if not len(batch):
+                continue
             texts = list(batch["_text"])
             packed = [np.packbits(presence(texts[b]), axis=1) for b in blocks(texts)]
             rows = [r.tobytes() for p in packed for r in p]

@@ -41,7 +41,7 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Categories of the chain, in order: a text full of junk is judged before its tone is.
-CATEGORIES = {"low_quality": F.expr("quality = 0"), "toxic": F.expr("toxic = 1")}
+CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -214,10 +214,10 @@ def fit_chain(categories: list[str], row: np.ndarray, code: np.ndarray, labels:
     return Chain(categories, models)
 
 
-def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, Column], text: str = "text", key: str = "doc_id") -> Chain:
-    """Chain for ``categories``, in their order, each a condition on columns of ``labels``."""
+def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str], text: str = "text", key: str = "doc_id") -> Chain:
+    """Chain for ``categories``, in their order, each a condition (in SQL) on columns of ``labels``."""
     names = list(categories)
-    marked = labels.select(F.col(key).alias("_key"), *[c.alias(f"_{i}") for i, c in enumerate(categories.values())])
+    marked = labels.select(F.col(key).alias("_key"), *[F.expr(c).alias(f"_{i}") for i, c in enumerate(categories.values())])
     known = marked.dropna()
     n = known.count()
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_key").cast("string")), F.lit(1 << 30))

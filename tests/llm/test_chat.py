@@ -1,0 +1,107 @@
+import json
+import re
+
+from tallyloom.llm import chat
+
+SCHEMAS = {"search": {"query": ("string", True), "limit": ("integer", False), "exact": ("boolean", False)}}
+
+
+def call(id_, name="search", arguments='{"query":"x"}', after=None):
+    one = {"id": id_, "name": name, "after": after}
+    head = json.dumps({k: v for k, v in one.items() if v is not None})[1:-1]
+    return '{"arguments":%s%s}' % (arguments, ", " + head if head else "")
+
+
+def calls(*listed):
+    return '{"tool_calls":[%s]}' % ",".join(listed)
+
+
+def result(id_, content):
+    return json.dumps({"tool_call_id": id_, "content": content}, ensure_ascii=False)
+
+
+def link(spark, rows):
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    return {(r["conv_id"], r["kind"], r["call_id"], r["turn"]): r for r in chat.link(table, SCHEMAS).collect()}
+
+
+def test_calls_meet_their_results(spark):
+    found = link(
+        spark,
+        [
+            (1, 0, "user", "find é\n\"it\""),
+            (1, 1, "assistant", calls(call("a", arguments='{"query":"é\\"","limit":3}'), call("b"))),
+            (1, 2, "tool", result("b", "two")),
+            (1, 3, "tool", result("a", 'o"ne\né')),
+            (1, 4, "tool", result("b", "later")),
+            (1, 5, "tool", result("lost", "x")),
+            (2, 1, "assistant", calls(call("a"))),
+            (2, 2, "assistant", "just text"),
+            (2, 3, "assistant", None),
+            (2, 4, "tool", ""),
+        ],
+    )
+    a = found[1, "call", "a", 1]
+    assert a["json"] == '{"arguments":{"limit":3,"query":"é\\""},"id":"a","name":"search","result":{"content":"o\\"ne\\né","turn":3}}'
+    assert json.loads(found[1, "call", "b", 1]["json"])["result"] == {"content": "two", "turn": 2}
+    assert "result" not in json.loads(found[2, "call", "a", 1]["json"])
+    assert found[1, "orphan", "lost", 5]["json"] == '{"content":"x","role":"tool","tool_call_id":"lost"}'
+    assert json.loads(found[1, "message", None, 0]["json"]) == {"content": 'find é\n"it"', "role": "user"}
+    assert found[2, "message", None, 3]["json"] == '{"role":"assistant"}'
+    assert found[2, "message", None, 4]["json"] == '{"content":"","role":"tool"}' and len(found) == 8
+
+
+def test_order_is_topological(spark):
+    # b needs c, which stands later; e needs itself by way of f; g needs a cycle; h needs nothing that exists
+    listed = [("a", None), ("b", "c"), ("c", "a"), ("d", "b"), ("e", "f"), ("f", "e"), ("g", "e"), ("h", "nowhere")]
+    rows = [(1, i, "assistant", calls(call(n, after=d))) for i, (n, d) in enumerate(listed)]
+    found = {k[2]: r for k, r in link(spark, rows).items()}
+    assert {n: found[n]["level"] for n in "abcdefgh"} == dict(a=0, c=1, b=2, d=3, e=None, f=None, g=None, h=0)
+    place = {n: found[n]["position"] for n in "abcdh"}
+    assert sorted(place.values()) == [0, 1, 2, 3, 4] and place["a"] < place["c"] < place["b"] < place["d"]
+    assert "cycle" in found["e"]["error"] and "cycle" in found["g"]["error"] and found["e"]["position"] is None
+
+
+def test_a_long_chain_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_TURNS", 7)
+    rows = [(1, i, "assistant", calls(call(f"c{i:03}", after=f"c{i - 1:03}" if i else None))) for i in range(150)]
+    found = link(spark, rows)
+    assert [(r["position"], r["level"]) for _, r in sorted(found.items())] == [(i, i) for i in range(150)]
+
+
+def test_arguments_are_validated(spark):
+    cases = {
+        "ok": ('{"query":"x","limit":2,"exact":true}', ""),
+        "missing": ('{"limit":2}', "missing query"),
+        "null": ('{"query":null}', "missing query"),
+        "type": ('{"query":5,"limit":"2","exact":1}', "exact is no boolean,limit is no integer,query is no string"),
+        "more": ('{"query":"x","z":1,"y":2}', "unexpected y z"),
+        "list": ("[1]", "arguments are no object"),
+    }
+    rows = [(1, i, "assistant", calls(call(n, arguments=a))) for i, (n, (a, _)) in enumerate(cases.items())]
+    rows.append((1, 50, "assistant", calls(call("tool", name="other"))))
+    rows.append((1, 51, "assistant", calls(call("unnamed", name=None))))
+    found = {k[2]: r["error"] for k, r in link(spark, rows).items()}
+    for name, (_, error) in cases.items():
+        assert sorted(filter(None, found[name].split(","))) == sorted(filter(None, error.split(","))), name
+    assert found["tool"] == "unknown tool" and found["unnamed"] == "no name"
+
+
+def test_repeated_null_and_empty(spark):
+    same = (1, 1, "assistant", calls(call("a")))
+    found = link(spark, [same, same, (1, 2, "assistant", calls(call("a", arguments='{"query":"later"}'))), (1, 3, "tool", result("a", "r")), (1, 3, "tool", result("a", "r"))])
+    (row,) = found.values()
+    assert row["copies"] == 3 and row["json"].count('"x"') == 1
+    null = link(spark, [(None, 1, "assistant", calls(call("a"))), (None, 2, "tool", result("a", "r")), (None, None, None, None)])
+    assert json.loads(null[None, "call", "a", 1]["json"])["result"]["content"] == "r"
+    assert null[None, "message", None, None]["json"] == "{}"
+    nameless = link(spark, [(1, 1, "assistant", calls(call(None)))])
+    (row,) = nameless.values()
+    assert "no id" in row["error"]
+    assert link(spark, []) == {}
+
+
+def test_no_python_in_the_plan(spark):
+    table = spark.createDataFrame([(1, 1, "user", "x")], "conv_id long, turn long, role string, text string")
+    plan = chat.link(chat.as_tool_traffic(table), chat.REPLY)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

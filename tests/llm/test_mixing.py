@@ -1,0 +1,93 @@
+import random
+import re
+
+import pytest
+
+from helpers import documents, empty, with_clashes
+from tallyloom.llm import mixing
+
+
+def plain_targets(sizes):
+    """Targets by sharing the excess again and again, from {source: size}."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: i % 3 + 1 for i, s in enumerate(order)}
+    total, fixed = sum(sizes.values()), {s: 0 for s in order if not sizes[s]}
+    while True:
+        open_ = [s for s in order if s not in fixed]
+        left = total - sum(fixed.values())
+        share = {s: left * weight[s] / sum(weight[o] for o in open_) for s in open_}
+        above = [s for s in open_ if share[s] > 3 * sizes[s]]
+        if not above:
+            return {**fixed, **share}
+        fixed |= {s: 3 * sizes[s] for s in above}
+
+
+def fixture(spark):
+    rng = random.Random(11)
+    docs = None
+    for source, n in ((None, 40), ("b", 700), ("a", 60), ("é", 30), ("Z", 5), ("none", 3), ("c", 90)):
+        texts = [" ".join(["w"] * rng.choice([1, 3, 10, rng.randrange(1, 300)])) for _ in range(n)]
+        texts = [None, "", " \t"] if source == "none" else texts
+        part = documents(spark, texts, source=source, ids=[rng.randrange(10**9) for _ in texts])
+        docs = part if docs is None else docs.unionByName(part)
+    return docs
+
+
+def test_targets_sizes_and_copies(spark):
+    docs = fixture(spark)
+    given = {r["doc_id"]: r for r in docs.collect()}
+    rows = mixing.mix(with_clashes(docs)).collect()
+    assert len(rows) == len(given)
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes, taken, longest = {}, {}, {}
+    for r in rows:
+        d = given[r["doc_id"]]
+        assert r["size"] == size(d["text"]) and r["taken"] == r["copies"] * r["size"] and 0 <= r["copies"] <= 3
+        s = d["source"]
+        sizes[s] = sizes.get(s, 0) + r["size"]
+        taken[s] = taken.get(s, 0) + r["taken"]
+        longest[s] = max(longest.get(s, 0), r["size"])
+    wanted = plain_targets(sizes)
+    for r in rows:
+        s = given[r["doc_id"]]["source"]
+        assert r["source_size"] == sizes[s] and r["target"] == pytest.approx(wanted[s])
+    for s in sizes:
+        assert abs(taken[s] - wanted[s]) <= longest[s]
+
+
+def test_longer_documents_are_tilted_one_way(spark):
+    rows = mixing.mix(fixture(spark).where("source = 'b'").unionByName(fixture(spark).where("source = 'c'"))).collect()
+    mean = lambda rs: sum(r["copies"] for r in rs) / len(rs)
+    large = [r for r in rows if r["source_size"] == max(x["source_size"] for x in rows)]
+    assert mean([r for r in large if r["size"] > 100]) <= mean([r for r in large if r["size"] <= 10])
+
+
+def test_reruns_and_other_partitions_agree(spark):
+    docs = fixture(spark)
+    once = sorted(tuple(r) for r in mixing.mix(docs).collect())
+    assert once == sorted(tuple(r) for r in mixing.mix(docs.repartition(7)).collect())
+
+
+def test_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_DOCS", 3)
+    test_targets_sizes_and_copies(spark)
+
+
+def test_null_and_equal_rows(spark):
+    docs = documents(spark, ["a b c"] * 10, ids=[None] * 5 + [1] * 5)
+    rows = mixing.mix(docs).collect()
+    assert len(rows) == 10 and sum(r["taken"] for r in rows) == 30
+
+
+def test_empty_and_wordless_tables(spark):
+    assert mixing.mix(empty(documents(spark, ["a"]))).collect() == []
+    rows = mixing.mix(documents(spark, [None, ""])).collect()
+    assert [(r["target"], r["taken"]) for r in rows] == [(0, 0), (0, 0)]
+
+
+def test_all_columns_stay(spark):
+    docs = with_clashes(fixture(spark))
+    docs = docs.unionByName(docs.limit(1))
+    found = mixing.with_copies(docs)
+    assert found.columns == [*docs.columns, "size", "source_size", "target", "copies", "taken"]
+    assert found.count() == docs.count()
