@@ -317,5 +317,6 @@ ORACLE: dict[str, str] = {
            full join (select cast(date_trunc('month', created_at) as date) as period, count(*) as target_rows
                       from loaded group by 1) using (period)""",
     ),
-    "delimited_text": CLEAN_DOCUMENTS,
+    "delimited_text": f"""
+        select *, case doc_id % 3 when 0 then '' when 1 then lang end as note from ({CLEAN_DOCUMENTS})""",
 }

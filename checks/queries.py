@@ -245,7 +245,8 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = con.clean_text(table(spark, sf_dir, "documents"))
+    note = F.expr("case doc_id % 3 when 0 then '' when 1 then lang end")
+    cleaned = con.clean_text(table(spark, sf_dir, "documents")).withColumn("note", note)
     path = fresh_dir(spark, "text")
     delimited.write_delimited(cleaned, path)
     return delimited.read_delimited(spark, path, cleaned.schema, multi_line=False)

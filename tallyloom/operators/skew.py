@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
-MAX_HEAVY_KEYS = 2048
-SKETCH_ITEMS = 8 * MAX_HEAVY_KEYS
-MAX_SALTS = 4096
+# Keys that are looked for at least; no more keys than there are partitions can each hold more than one of them.
+LEAST_KEYS = 2048
+# The largest sketch that Spark makes.
+MAX_SKETCH_ITEMS = 1_000_000
 # A key with fewer rows than this never overloads a task.
 MIN_HEAVY_ROWS = 1_000_000
 
@@ -29,12 +30,14 @@ def key_column(keys: Sequence[str]) -> Column:
 
 
 def heavy_keys(df: DataFrame, *keys: str, min_rows: int = MIN_HEAVY_ROWS) -> list[Any]:
-    """Keys that hold more rows than an average shuffle partition (at most ``MAX_HEAVY_KEYS``).
+    """Keys that hold more rows than an average shuffle partition.
 
     Sketches of a fixed size are merged in two steps, so neither a task nor the driver ever sees
     more than that. NULL is reported as ``None``; compound keys are reported by their hash.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(LEAST_KEYS, partitions)
+    items = min(MAX_SKETCH_ITEMS, 8 * wanted)
     sketches = (
         df.select(
             key_column(keys).alias("k"),
@@ -42,15 +45,15 @@ def heavy_keys(df: DataFrame, *keys: str, min_rows: int = MIN_HEAVY_ROWS) -> lis
         )
         .groupBy("part")
         .agg(
-            F.expr(f"approx_top_k_accumulate(k, {SKETCH_ITEMS})").alias("sketch"),
+            F.expr(f"approx_top_k_accumulate(k, {items})").alias("sketch"),
             F.count(F.lit(1)).alias("n"),
         )
     )
     # Grouped, as an empty table has no sketch to merge.
     merged = sketches.groupBy(F.lit("all")).agg(
-        F.expr(f"approx_top_k_combine(sketch, {SKETCH_ITEMS})").alias("sketch"), F.sum("n").alias("n")
+        F.expr(f"approx_top_k_combine(sketch, {items})").alias("sketch"), F.sum("n").alias("n")
     )
-    found = merged.select("n", F.expr(f"approx_top_k_estimate(sketch, {MAX_HEAVY_KEYS})").alias("top")).first()
+    found = merged.select("n", F.expr(f"approx_top_k_estimate(sketch, {wanted})").alias("top")).first()
     if found is None:
         return []
     floor = max(min_rows, found["n"] // partitions)
@@ -70,12 +73,12 @@ def join_parts(
 
     The rows of a heavy key get a salt from the task that reads them (the same one if the task is run
     again, and different for equal rows in different files) and meet one copy of the small side's
-    rows per salt. Those copies number at most ``MAX_SALTS`` per row of a heavy key. Nothing is
+    rows per salt. Those copies number one per shuffle partition and row of a heavy key. Nothing is
     broadcast by hint: Spark does that itself where it measures the side to be small.
     """
     if not heavy:
         return [(big, small, [key])]
-    salts = min(MAX_SALTS, int(big.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = is_heavy(F.col(key), heavy)
     salted_big = big.where(hot).withColumn(SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
     salted_small = small.where(hot).withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -91,16 +94,30 @@ def skew_join(
     also: Sequence[str] = (),
     then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Inner, left semi or left anti join of a possibly skewed ``big`` with ``small``.
+    """Inner, left, left semi or left anti join of a possibly skewed ``big`` with ``small``.
+
+    NULL keys match nothing. Inner and semi joins drop them before the shuffle, the others pass their rows round the
+    join, so that however many there are, they never meet in one task.
 
     Joined on ``key``, which ``heavy`` is about, and on the further columns ``also``. ``then`` is applied
     to each part before they are put together. It must treat every key on its own, such as an aggregation
     by ``key``: the parts share no key.
     """
-    if how not in ("inner", "left_semi", "left_anti"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join does not do {how!r} joins")
     parts = []
+    no_key = big.where(F.col(key).isNull())
+    big, small = big.where(F.col(key).isNotNull()), small.where(F.col(key).isNotNull())
+    heavy = [k for k in heavy if k is not None]
     for big_part, small_part, on in join_parts(big, small, key, heavy):
         joined = big_part.join(small_part, [*on, *also], how).drop(SALT)
         parts.append(then(joined) if then else joined)
+    if how in ("left", "left_anti"):
+        added = [c for c in small.columns if c != key and c not in also] if how == "left" else []
+        kinds = {f.name: f.dataType for f in small.schema}
+        passed = no_key.select(
+            *[key, *also, *[c for c in no_key.columns if c != key and c not in also]],
+            *[F.lit(None).cast(kinds[c]).alias(c) for c in added],
+        )
+        parts.append(then(passed) if then else passed)
     return reduce(DataFrame.unionByName, parts)

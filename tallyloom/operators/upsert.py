@@ -43,17 +43,16 @@ def latest_launches(
     """What is left of ``staged`` once its launches have been upserted one after the other.
 
     A row is dropped if its key was staged again by a later launch; a NULL key never is. So every key
-    of ``staged`` is still there. Only the (usually few) overtaken pairs of key and launch are joined
-    back, so the staged rows themselves need no ordering.
+    of ``staged`` is still there. Each key's first and last launch are plain extremes, which combine before the shuffle;
+    only the (usually few) keys that two launches have are joined back, so the staged rows need no ordering.
     """
     if len(launches) < 2:
         return staged
     if heavy is None:
         heavy = heavy_keys(staged, key)
     order = launch_table(staged.sparkSession, launches).select(LAUNCH_ID, "_order")
-    # The set of a key's launches is no longer than the list of periods, however many rows the key has.
-    in_order = F.sort_array(F.collect_set(F.struct("_order", LAUNCH_ID))).alias("seen")
-    seen = staged.where(F.col(key).isNotNull()).join(F.broadcast(order), LAUNCH_ID).groupBy(key).agg(in_order)
-    overtaken = seen.select(key, F.explode(F.slice("seen", 1, F.size("seen") - 1)).alias("launch"))
-    overtaken = overtaken.select(key, F.col(f"launch.{LAUNCH_ID}"))
-    return skew_join(staged, overtaken, key, heavy, how="left_anti", also=[LAUNCH_ID])
+    ordered = staged.join(F.broadcast(order), LAUNCH_ID)
+    ends = ordered.where(F.col(key).isNotNull()).groupBy(key).agg(F.min("_order").alias("_first"), F.max("_order").alias("_last"))
+    overtaken = ends.where(F.col("_first") < F.col("_last")).select(key, "_last")
+    found = skew_join(ordered, overtaken, key, heavy, how="left")
+    return found.where(F.col("_last").isNull() | (F.col("_order") >= F.col("_last"))).select(*staged.columns)

@@ -82,9 +82,10 @@ def counted(base: DataFrame, *columns: str) -> DataFrame:
     """Distinct rows and how many shifts each stands for.
 
     An id may occur more than once; counting equal rows before a join keeps their copies from being
-    paired with every row of that id.
+    paired with every row of that id. NULL ids meet nothing, so they are left out. Rows are dealt by
+    id alone, which the join that follows can use as it is.
     """
-    return base.groupBy(*columns).agg(F.count(F.lit(1)).alias("shifts"))
+    return base.where(F.col("shift_id").isNotNull()).repartition("shift_id").groupBy(*columns).agg(F.count(F.lit(1)).alias("shifts"))
 
 
 def shift_dynamic(
@@ -197,11 +198,11 @@ def mv_shifts_agg(
     base = shifts_base(shifts)
     dynamic = shift_dynamic(base, history, calendar or Calendar.upto(), heavy)
     stat = shift_stat(base, couriers, heavy)
+    repeated = heavy_keys(base, "shift_id") if heavy is None else heavy
     unfilled = F.col("max_count") - F.col("not_removed_cnt")
     skipped = F.col("not_removed_cnt") - F.col("working_cnt")
     return (
-        base.join(dynamic, "shift_id", "left")
-        .join(stat.drop("max_count", "shift_len"), "shift_id", "left")
+        skew_join(base, dynamic.join(stat.drop("max_count", "shift_len"), "shift_id", "full"), "shift_id", repeated, "left")
         .select(
             *base.columns,
             *[HEAD_COUNTS[n] for n in sorted(HEAD_COUNTS, reverse=True)],

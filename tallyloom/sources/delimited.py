@@ -1,7 +1,7 @@
 """Delimited text for exchange with other systems: ``;`` between fields, ``"`` around them, no header.
 
-NULL is an empty field. Spark's reader takes an empty quoted field for NULL as well, so empty strings do
-not survive; the loader itself therefore stages as parquet.
+NULL is an empty field, an empty string an empty quoted one. Spark's reader takes both for NULL by default; told that
+NULL is a character that no text holds, it keeps them apart.
 """
 
 from __future__ import annotations
@@ -11,10 +11,14 @@ from pyspark.sql.types import StructType
 
 # The text format.
 TEXT_FORMAT = {"sep": ";", "quote": '"', "escape": '"', "header": "false"}
+# Spaces around a text are part of it.
+KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# A character that text in these files can't hold, so that only an unquoted empty field is NULL.
+NO_TEXT = "\u0000"
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.options(**TEXT_FORMAT, emptyValue='""').mode(mode).csv(path)
+    df.write.options(**TEXT_FORMAT, **KEEP_SPACES, emptyValue='""').mode(mode).csv(path)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: StructType | str, multi_line: bool = True) -> DataFrame:
@@ -23,5 +27,5 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str, mul
     ``multi_line`` is needed where a field may hold a line break; such files cannot be split, so turn
     it off for text that has been cleaned.
     """
-    reader = spark.read.schema(schema).options(**TEXT_FORMAT, mode="FAILFAST")
+    reader = spark.read.schema(schema).options(**TEXT_FORMAT, **KEEP_SPACES, mode="FAILFAST", nullValue=NO_TEXT)
     return reader.option("multiLine", str(multi_line).lower()).csv(path)

@@ -360,6 +360,15 @@ def test_materialise(spark, layers, tmp_path, caplog):
     assert spark.table(name).count() == 1
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_delimited_text_keeps_null_and_empty_apart(spark, tmp_path, multi_line):
+    rows = [(1, "", 1.5), (2, None, None), (None, " a ", 0.0), (4, '"', None), (5, ";", 2.0), (6, '""', 1.0), (None, None, None)]
+    df = spark.createDataFrame(rows, "id bigint, name string, x double")
+    path = str(tmp_path / "text")
+    delimited.write_delimited(df, path)
+    assert bag(delimited.read_delimited(spark, path, df.schema, multi_line)) == bag(df)
+
+
 def test_delimited_text(spark, tmp_path):
     rows = [(1, 'say "hi"; bye', 1.5), (2, None, None), (3, "line\nbreak", 0.0), (4, "back\\slash", -2.0)]
     df = spark.createDataFrame(rows, "id bigint, name string, x double")

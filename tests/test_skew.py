@@ -41,7 +41,7 @@ def test_is_heavy_is_never_null(spark, skewed):
     assert (flags.where("a").count(), flags.where("b").count()) == (1000, 2000)
 
 
-@pytest.mark.parametrize("how", ["inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("heavy", [[7], [7, None], [None], [-1]])
 def test_skew_join_is_a_join(spark, skewed, how, heavy):
     small = spark.createDataFrame([(7, "a"), (101, "b"), (101, "c"), (None, "d"), (5, "e")], "k bigint, name string")
