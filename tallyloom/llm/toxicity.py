@@ -34,7 +34,8 @@ SUFFIX = 3
 FEATURES = 2000
 #: Texts of a sample that a feature must occur in.
 LEAST_TEXTS = 3
-SAMPLE_ROWS = 5000
+SAMPLE_ROWS = 4000
+FETCHES = 8
 FOLDS = 3
 PENALTY = 1e-5
 ITERATIONS = 60
@@ -155,9 +156,10 @@ def fit_linear(row: np.ndarray, code: np.ndarray, wanted: np.ndarray, earlier: n
     if wanted.min(initial=1) == wanted.max(initial=0):
         return Linear(np.empty(0, np.int32), np.empty(0), np.zeros(earlier.shape[1]), -50.0)
     chosen = choose(row, code, wanted)
-    at = np.minimum(np.searchsorted(chosen, code), max(len(chosen) - 1, 0))
-    hit = chosen[at] == code if len(chosen) else np.zeros(len(code), bool)
-    r, c, k = row[hit], at[hit], len(chosen)
+    place = np.full(int(code.max(initial=0)) + 1, -1, np.int32)
+    place[chosen] = np.arange(len(chosen), dtype=np.int32)
+    hit = place[code] >= 0
+    r, c, k = row[hit], place[code[hit]], len(chosen)
 
     def loss(p: np.ndarray) -> tuple[float, np.ndarray]:
         margin = np.bincount(r, p[c], n) + earlier @ p[k:-1] + p[-1]
@@ -240,20 +242,29 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str], text:
                     }
                 )
 
-    sample = rows.mapInPandas(featured, "draw long, marks array<boolean>, codes binary").collect()
-    sample.sort(key=lambda r: (r["draw"], bytes(r["codes"])))
+    drawn = rows.mapInPandas(featured, "draw long, marks array<boolean>, codes binary")
+    # Fetched in a few parts, one after the other, for the driver's memory.
+    fetched = drawn.repartition(FETCHES).toLocalIterator()
+    sample = sorted(((r["draw"], bytes(r["codes"]), r["marks"]) for r in fetched), key=lambda r: r[:2])
     if not sample:
         return Chain(names, [Linear(np.empty(0, np.int32), np.empty(0), np.zeros(j), -50.0) for j in range(len(names))])
     one_thread()
-    marks = np.array([r["marks"] for r in sample], float)
-    fold = np.array([r["draw"] % FOLDS for r in sample])
-    features = [np.frombuffer(r["codes"], np.int32) for r in sample]
+    marks = np.array([r[2] for r in sample], float)
+    fold = np.array([r[0] % FOLDS for r in sample])
+    features = [np.frombuffer(r[1], np.int32) for r in sample]
     row = np.repeat(np.arange(len(sample), dtype=np.int32), [len(f) for f in features])
     code = np.concatenate(features)
-    # Most features are those of one text; they go first, for the driver's memory.
+    # Most features are those of one text; they go first, and the rest is numbered, for the driver's memory.
     del sample, features
-    common = (np.bincount(code, minlength=1) >= LEAST_TEXTS)[code]
-    return fit_chain(names, row[common], code[common], marks, fold)
+    counts = np.bincount(code, minlength=1).astype(np.int32)
+    common = (counts >= max(LEAST_TEXTS, len(fold) // 1000))[code]
+    row, code = row[common], code[common]
+    del common, counts
+    vocabulary = np.unique(code)
+    chain = fit_chain(names, row, np.searchsorted(vocabulary, code).astype(np.int32), marks, fold)
+    for model in chain.models:
+        model.chosen = vocabulary[model.chosen]
+    return chain
 
 
 def probabilities(docs: DataFrame, chain: Chain, text: str = "text") -> Column:
