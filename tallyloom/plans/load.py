@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
-from typing import Any
+from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.operators.calendar import load_periods, resolve_interval
 from tallyloom.operators.conform import SourceColumn, measure, source_columns
-from tallyloom.operators.extract import extract, extract_periods, has_updates
+from tallyloom.operators.extract import extract, extract_periods, has_updates, period_ranges
 from tallyloom.operators.skew import heavy_keys
 from tallyloom.operators.upsert import latest_launches, upsert
 from tallyloom.sources.tables import Layers, SnapshotTable, StagingTable, log_launches, new_launch_id
@@ -46,6 +46,18 @@ class LoadResult:
     rewritten: list[str]
 
 
+class Database(Protocol):
+    """Where a spec's table is read from; ``sources.jdbc.Database`` is one."""
+
+    def columns(self, table: str, dbname: str | None) -> list[SourceColumn]: ...
+
+    def measured(self, table: str, columns: Sequence[SourceColumn]) -> list[SourceColumn]: ...
+
+    def read(self, table: str, key: str) -> DataFrame: ...
+
+    def read_spans(self, table: str, fields: Sequence[str], spans: Sequence[tuple[date, date]]) -> DataFrame: ...
+
+
 def name_launches(
     periods: Sequence[date], new_id: Callable[[date | None], str] | None = None
 ) -> dict[date, str]:
@@ -73,10 +85,20 @@ class Loader:
     """Runs load specs against the tables of ``layers``.
 
     ``new_id`` names the launch of a period (``None`` for a full load); by default it is a new UUID.
+
+    A source with a column less or of another type than its tables is an error, and nothing is written or
+    logged. So is one with a new column, unless ``on_new_columns`` is ``add``: then the tables get it too, NULL in older rows.
     """
 
-    def __init__(self, spark: SparkSession, layers: Layers, new_id: Callable[[date | None], str] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        layers: Layers,
+        new_id: Callable[[date | None], str] | None = None,
+        on_new_columns: str = "error",
+    ):
         self.spark = spark
+        self.on_new_columns = on_new_columns
         self.layers = layers.create(spark)
         self.new_id = new_id
 
@@ -87,15 +109,46 @@ class Loader:
         has_updates(found)
         staging = StagingTable(self.spark, self.layers, spec.target_table)
         snapshot = SnapshotTable(
-            self.spark, self.layers, spec.target_table, spec.partitioning_field, spec.key, spec.partition_unit
+            self.spark, self.layers, spec.target_table, spec.partitioning_field, spec.key, spec.partition_unit,
+            spec.clustering_field,
         )
-        # Text lengths decide only how the staging table is created, so a table that exists is not measured.
+        # Text lengths decide only how the staging table is created, so a table that exists is not measured, nor is
+        # one whose columns come with their lengths.
         if not self.spark.catalog.tableExists(staging.name):
-            found = measure(source, found)
+            found = found if any(c.max_size is not None for c in found) else measure(source, found)
             staging.create(found)
         snapshot.create(found)
+        # Both are checked before either is changed, and before anything is written or logged.
+        for table in (staging, snapshot):
+            table.check(found, self.on_new_columns)
+        for table in (staging, snapshot):
+            table.fit(found, self.on_new_columns)
         return found, staging, snapshot
 
+    def run(
+        self,
+        spec: LoadSpec,
+        database: Database,
+        start: int | str | date | None = None,
+        end: int | str | date | None = None,
+        interval: int | None = None,
+        anchor: str = "current",
+    ) -> LoadResult:
+        """Load a spec from the database that it names, reading only the periods asked for.
+
+        Text lengths are measured by the database, and only while there is no staging table yet.
+        """
+        columns = database.columns(spec.source_table, spec.dbname)
+        if not self.spark.catalog.tableExists(StagingTable(self.spark, self.layers, spec.target_table).name):
+            columns = database.measured(spec.source_table, columns)
+        if spec.date_trunc is None or spec.partitioning_field is None:
+            return self.load(spec, database.read(spec.source_table, spec.key), start, end, interval, columns, anchor)
+        first, last = resolve_interval(start, end, interval)
+        spans = period_ranges(load_periods(first, last, spec.date_trunc, anchor), spec.date_trunc)
+        fields = [spec.partitioning_field, *(["updated_at"] if has_updates(columns) else [])]
+        source = database.read_spans(spec.source_table, fields, spans)
+        return self.load(spec, source, first, last, None, columns, anchor)
+
     def load(
         self,
         spec: LoadSpec,

@@ -1,56 +1,117 @@
-"""Source tables in a relational database, read in parallel key ranges."""
+"""Source tables in a relational database, read by many tasks at once.
+
+A load reads the periods it needs, each cut into ranges of its time stamps, so that every task has a share of the rows asked
+for. A whole table is cut by a hash of its key, of whatever type that is. The query texts are those of PostgreSQL.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass, field, replace
+from datetime import date, datetime, time, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.operators.conform import SourceColumn, catalogue_columns
+from tallyloom.operators.conform import MEASURED_TYPES, SourceColumn, catalogue_columns
 from tallyloom.operators.extract import split_table_name
 
 
-def jdbc_options(
-    url: str,
-    table: str,
-    key: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
-    fetch_size: int = 10_000,
-    **properties: str,
-) -> dict[str, str]:
-    """Options of ``spark.read.format("jdbc")``; with ``key``, one query per key range.
+def jdbc_options(url: str, table: str, fetch_size: int = 10_000, **properties: str) -> dict[str, str]:
+    """Options of ``spark.read.format("jdbc")``.
 
-    Column selection and plain period ranges are pushed into those queries by Spark.
+    Time stamps without time zone stay wall-clock time; by default Spark would take them for instants in the
+    zone of its virtual machine.
     """
-    options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **properties}
-    if key is not None:
-        if bounds is None:
-            raise ValueError("reading by key ranges needs the bounds of the key")
-        options |= {
-            "partitionColumn": key,
-            "lowerBound": str(bounds[0]),
-            "upperBound": str(bounds[1] + 1),
-            "numPartitions": str(partitions),
-        }
-    return options
-
-
-def read_table(
-    spark: SparkSession, url: str, table: str, key: str | None = None, partitions: int = 1, **properties: str
-) -> DataFrame:
-    """A source table as a DataFrame; the bounds of ``key`` are asked from the database."""
-    bounds = None
-    if key is not None and partitions > 1:
-        query = f"(SELECT min({key}) AS lo, max({key}) AS hi FROM {table}) AS bounds"
-        row = spark.read.format("jdbc").options(**jdbc_options(url, query, **properties)).load().first()
-        bounds = (int(row[0]), int(row[1])) if row[0] is not None else None
-    by_key = {"key": key, "bounds": bounds, "partitions": partitions} if bounds else {}
-    return spark.read.format("jdbc").options(**jdbc_options(url, table, **by_key, **properties)).load()
-
-
-def table_columns(
-    spark: SparkSession, url: str, table: str, dbname: str | None = None, **properties: str
-) -> list[SourceColumn]:
-    """Columns of a source table from the database's catalogue."""
-    catalog, schema, name = split_table_name(table, dbname)
-    options = jdbc_options(url, "information_schema.columns", **properties)
-    return catalogue_columns(spark.read.format("jdbc").options(**options).load(), schema, name, catalog)
+    return {"url": url, "dbtable": table, "fetchsize": str(fetch_size), "preferTimestampNTZ": "true", **properties}
+
+
+def quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
+def _at(moment: datetime) -> str:
+    return f"TIMESTAMP '{moment.isoformat(sep=' ')}'"
+
+
+def span_predicates(fields: Sequence[str], spans: Sequence[tuple[date, date]], parts: int) -> list[str]:
+    """Conditions that share out the rows of which a field lies in one of the spans (half-open).
+
+    Each row meets exactly one: that of the first of its fields which lies in a span. A field that is NULL lies in none.
+    """
+    if not fields or parts < 1:
+        raise ValueError("needs a field and at least one part")
+    spans = [(datetime.combine(a, time()), datetime.combine(b, time())) for a, b in spans]
+    whole = sum((b - a for a, b in spans), timedelta())
+    step = max(timedelta(seconds=1), whole / parts if whole else timedelta(seconds=1))
+
+    def within(name: str) -> str:
+        return " OR ".join(f"({name} >= {_at(a)} AND {name} < {_at(b)})" for a, b in spans)
+
+    out = []
+    for n, wanted in enumerate(fields):
+        # NULL of an earlier field is no reason to leave a row out.
+        earlier = "".join(f" AND NOT COALESCE({within(quoted(f))}, FALSE)" for f in fields[:n])
+        for first, end in spans:
+            start = first
+            while start < end:
+                stop = min(end, start + step)
+                name = quoted(wanted)
+                out.append(f"{name} >= {_at(start)} AND {name} < {_at(stop)}{earlier}")
+                start = stop
+    return out
+
+
+def key_predicates(key: str, parts: int) -> list[str]:
+    """Conditions that share out all rows by a hash of the key, NULL keys in the first part."""
+    if parts < 1:
+        raise ValueError("needs at least one part")
+    place = f"MOD(ABS(HASHTEXT(CAST({quoted(key)} AS text))::bigint), {parts})"
+    return [f"{place} = {n}" + (f" OR {quoted(key)} IS NULL" if n == 0 else "") for n in range(parts)]
+
+
+def length_query(table: str, columns: Sequence[SourceColumn]) -> str | None:
+    """Query for the longest text of every measured column, in one row; None if there is no such column."""
+    sizes = [
+        f"MAX(LENGTH(CAST({quoted(c.name)} AS varchar))) AS {quoted(c.name)}"
+        for c in columns
+        if c.data_type.lower() in MEASURED_TYPES
+    ]
+    return f"(SELECT {', '.join(sizes)} FROM {table}) AS lengths" if sizes else None
+
+
+@dataclass(frozen=True)
+class Database:
+    """A database that load specs are read from, by ``parts`` queries at once."""
+
+    spark: SparkSession
+    url: str
+    parts: int
+    properties: dict[str, str] = field(default_factory=dict)
+
+    def _load(self, table: str) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**jdbc_options(self.url, table, **self.properties)).load()
+
+    def _load_parts(self, table: str, predicates: list[str]) -> DataFrame:
+        options = jdbc_options(self.url, table, **self.properties)
+        rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+        return self.spark.read.jdbc(self.url, table, predicates=predicates, properties=rest)
+
+    def columns(self, table: str, dbname: str | None = None) -> list[SourceColumn]:
+        """Columns of a source table from the database's catalogue."""
+        catalog, schema, name = split_table_name(table, dbname)
+        return catalogue_columns(self._load("information_schema.columns"), schema, name, catalog)
+
+    def measured(self, table: str, columns: Sequence[SourceColumn]) -> list[SourceColumn]:
+        """``columns`` with their longest texts, which the database finds: one row is fetched."""
+        query = length_query(table, columns)
+        found = self._load(query).first().asDict() if query else {}
+        return [replace(c, max_size=found.get(c.name, c.max_size)) for c in columns]
+
+    def read(self, table: str, key: str) -> DataFrame:
+        """A whole table."""
+        return self._load_parts(table, key_predicates(key, self.parts))
+
+    def read_spans(self, table: str, fields: Sequence[str], spans: Sequence[tuple[date, date]]) -> DataFrame:
+        """The rows of which a field lies in one of the spans; of no span, none."""
+        predicates = span_predicates(fields, spans, self.parts) if spans else ["1 = 0"]
+        return self._load_parts(table, predicates)

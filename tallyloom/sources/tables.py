@@ -53,6 +53,54 @@ class Layers:
         return f"{self.root}/{database}/{table}"
 
 
+class SchemaDrift(ValueError):
+    """A source no longer fits the table it is loaded into."""
+
+
+def loaded_types(spark: SparkSession, columns: Sequence[SourceColumn]) -> dict[str, str]:
+    return {c.name: spark_type(spark, c).lower() for c in columns}
+
+
+def check_drift(spark: SparkSession, table: str, columns: Sequence[SourceColumn], own: Sequence[str]) -> list[str]:
+    """Columns that ``table`` lacks. A missing column or a type that is not the table's is an error.
+
+    ``own`` are columns that the table has of itself. Texts of any length are one type here; nested values are loaded as
+    JSON text, so what they hold may change.
+    """
+    has = {f.name: f.dataType.simpleString() for f in spark.table(table).schema if f.name not in own}
+    wanted = loaded_types(spark, columns)
+    gone = sorted(has.keys() - wanted.keys())
+    if gone:
+        raise SchemaDrift(f"{table}: the source has no column {', '.join(gone)} any more")
+    for name in sorted(has.keys() & wanted.keys()):
+        if has[name] != wanted[name]:
+            raise SchemaDrift(f"{table}: column {name} is {has[name]}, but would now be {wanted[name]}")
+    return sorted(wanted.keys() - has.keys())
+
+
+def check_new(
+    spark: SparkSession, table: str, columns: Sequence[SourceColumn], own: Sequence[str], on_new_columns: str
+) -> list[str]:
+    """Columns to add to ``table`` so that nothing of the source is lost; an error unless that is asked for by ``add``."""
+    if on_new_columns not in ("error", "add"):
+        raise ValueError(f"unknown on_new_columns {on_new_columns!r}")
+    new = check_drift(spark, table, columns, own)
+    if new and on_new_columns == "error":
+        raise SchemaDrift(f"{table}: the source has the new column {', '.join(new)}")
+    return new
+
+
+def fit_columns(
+    spark: SparkSession, table: str, columns: Sequence[SourceColumn], own: Sequence[str], on_new_columns: str
+) -> None:
+    """Check ``table`` and give it the columns it lacks, which are NULL in all rows that are there already."""
+    new = check_new(spark, table, columns, own, on_new_columns)
+    if new:
+        types = loaded_types(spark, columns)
+        ddl = ", ".join(f"`{name}` {types[name].upper()}" for name in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ddl})")
+
+
 def new_launch_id() -> str:
     return str(uuid.uuid1())
 
@@ -122,6 +170,12 @@ class StagingTable:
             if_exists="KEEP",
         )
 
+    def check(self, columns: Sequence[SourceColumn], on_new_columns: str = "error") -> None:
+        check_new(self.spark, self.name, columns, (LAUNCH_ID,), on_new_columns)
+
+    def fit(self, columns: Sequence[SourceColumn], on_new_columns: str = "error") -> None:
+        fit_columns(self.spark, self.name, columns, (LAUNCH_ID,), on_new_columns)
+
     def append(
         self, batch: DataFrame, columns: Sequence[SourceColumn], launches: int, cluster_by: str | None = None
     ) -> None:
@@ -130,6 +184,7 @@ class StagingTable:
         A single launch is written as it is read, without a shuffle. Several are rebalanced first, so
         that each gets few files and a big one is still written by many tasks.
         """
+        self.fit(columns)
         rows = enforce(batch, [*columns, LAUNCH_COLUMN])
         if launches > 1:
             rows = rows.hint("rebalance", LAUNCH_ID)
@@ -154,6 +209,7 @@ class SnapshotTable:
     field: str | None = None
     key: str = "id"
     unit: str = "day"
+    cluster_by: str | None = None
 
     @property
     def name(self) -> str:
@@ -170,6 +226,12 @@ class SnapshotTable:
             if_exists="KEEP",
         )
 
+    def check(self, columns: Sequence[SourceColumn], on_new_columns: str = "error") -> None:
+        check_new(self.spark, self.name, columns, (PART, LAUNCH_ID), on_new_columns)
+
+    def fit(self, columns: Sequence[SourceColumn], on_new_columns: str = "error") -> None:
+        fit_columns(self.spark, self.name, columns, (PART, LAUNCH_ID), on_new_columns)
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name).drop(PART)
 
@@ -187,7 +249,12 @@ class SnapshotTable:
         at most one short string per calendar day.
         """
         current = self.spark.table(self.name)
-        batch = self._with_part(batch).select(*current.columns)
+        batch = self._with_part(batch)
+        types = lambda df: sorted((f.name, f.dataType.simpleString()) for f in df.schema)
+        if types(batch) != types(current):
+            odd = ", ".join(f"{n} {t}" for n, t in sorted(set(types(batch)) ^ set(types(current))))
+            raise SchemaDrift(f"{self.name}: batch and table differ in {odd}")
+        batch = batch.select(*current.columns)
         known = {r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
         changes = batch.select(PART, F.lit(True).alias("gains"))
         heavy: list[Any] = []
@@ -205,7 +272,7 @@ class SnapshotTable:
         path = f"{self.layers.location(self.layers.snapshot, self.table)}/v={version}"
         (
             merged.hint("rebalance", PART)
-            .sortWithinPartitions(PART, self.key)
+            .sortWithinPartitions(PART, self.cluster_by or self.key)
             .write.mode("errorifexists")
             .partitionBy(PART)
             .parquet(path)
@@ -232,6 +299,25 @@ class SnapshotTable:
             self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {some}")
 
 
+def repoint(spark: SparkSession, name: str, path: str) -> None:
+    """Let an unpartitioned table show the files at ``path``, creating it if need be.
+
+    With the same columns that is one statement, so a reader finds the old rows or the new ones. Otherwise the new
+    table is made under another name first and takes the name of the old one, which is missing for the moment of the rename.
+    """
+    shape = lambda df: [(f.name, f.dataType) for f in df.schema]
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    elif shape(spark.table(name)) == shape(spark.read.parquet(path)):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(name)
+    else:
+        next_name = f"{name}_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE TABLE {next_name} USING parquet LOCATION '{path}'")
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {next_name} RENAME TO {name}")
+
+
 def materialise(
     spark: SparkSession,
     layers: Layers,
@@ -253,8 +339,7 @@ def materialise(
         result = query() if callable(query) else query
     path = f"{layers.location(database or layers.analytics, table)}/v={uuid.uuid4().hex}"
     result.write.mode("errorifexists").parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    repoint(spark, name, path)
     seconds = time.monotonic() - began
     log.info("%s finished in %d seconds", name, seconds)
     return seconds

@@ -17,6 +17,7 @@ from tallyloom.operators import conform as con
 from tallyloom.operators import extract as ext
 from tallyloom.operators import quality, skew
 from tallyloom.operators import upsert as upsert_module
+from tallyloom.operators.conform import SourceColumn, measure, source_columns
 from tallyloom.operators.upsert import latest_launches, upsert
 from tallyloom.plans import load
 from tallyloom.sources import delimited, jdbc, tables
@@ -388,14 +389,130 @@ def test_jdbc_options():
         "url": "jdbc:postgresql://db/x",
         "dbtable": "public.shifts",
         "fetchsize": "10000",
+        "preferTimestampNTZ": "true",
         "user": "u",
     }
-    ranged = jdbc.jdbc_options("u", "t", "id", (1, 99), 8)
-    assert {k: ranged[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")} == {
-        "partitionColumn": "id",
-        "lowerBound": "1",
-        "upperBound": "100",
-        "numPartitions": "8",
-    }
-    with pytest.raises(ValueError, match="bounds"):
-        jdbc.jdbc_options("u", "t", "id")
+
+
+def test_period_predicates_share_out_the_rows(duck):
+    rng = random.Random(4)
+    moment = lambda: rng.choice([None, datetime(2024, 1, 1) + timedelta(hours=rng.randrange(-50, 24 * 20))])
+    rows = [(i, moment(), moment()) for i in range(600)]
+    duck.execute("create or replace table dated (id bigint, created_at timestamp, updated_at timestamp)")
+    duck.executemany("insert into dated values (?, ?, ?)", rows)
+    spans = [(date(2024, 1, 1), date(2024, 1, 4)), (date(2024, 1, 8), date(2024, 1, 15))]
+    inside = lambda t: t is not None and any(a <= t.date() < b for a, b in spans)
+    for fields in (["created_at"], ["created_at", "updated_at"]):
+        for parts in (1, 7, 64):
+            predicates = jdbc.span_predicates(fields, spans, parts)
+            assert len(predicates) >= parts
+            found = [r[0] for p in predicates for r in duck.execute(f"select id from dated where {p}").fetchall()]
+            wanted = [i for i, c, u in rows if inside(c) or (len(fields) == 2 and inside(u))]
+            assert sorted(found) == wanted
+    with pytest.raises(ValueError):
+        jdbc.span_predicates(["created_at"], spans, 0)
+
+
+def test_key_predicates_take_any_key():
+    assert jdbc.key_predicates("id", 2) == [
+        "MOD(ABS(HASHTEXT(CAST(\"id\" AS text))::bigint), 2) = 0 OR \"id\" IS NULL",
+        "MOD(ABS(HASHTEXT(CAST(\"id\" AS text))::bigint), 2) = 1",
+    ]
+
+
+def test_lengths_are_asked_in_one_query(duck):
+    columns = [SourceColumn("a", "text"), SourceColumn("b", "uuid"), SourceColumn('c"d', "jsonb")]
+    query = jdbc.length_query("texts", columns)
+    duck.execute("create or replace table texts (a varchar, b varchar, \"c\"\"d\" varchar)")
+    duck.execute("insert into texts values ('abc', 'abcdef', null), (null, 'x', '{}')")
+    assert duck.execute(f"select * from {query}").fetchall() == [(3, 2)]
+    assert jdbc.length_query("texts", [SourceColumn("n", "bigint")]) is None
+
+
+class StubDatabase:
+    """Hands out a DataFrame and notes what it was asked for."""
+
+    def __init__(self, rows):
+        self.rows, self.asked = rows, []
+
+    def columns(self, table, dbname):
+        self.asked.append(("columns", table, dbname))
+        return source_columns(self.rows)
+
+    def measured(self, table, columns):
+        self.asked.append(("measured", table))
+        return measure(self.rows, columns)
+
+    def read(self, table, key):
+        self.asked.append(("read", table, key))
+        return self.rows
+
+    def read_spans(self, table, fields, spans):
+        self.asked.append(("read_spans", table, tuple(fields), tuple(spans)))
+        return self.rows
+
+
+def test_a_spec_drives_its_load(spark, tmp_path):
+    spec = replace(SPEC, dbname="shop", target_table="driven", clustering_field="name")
+    loader = load.Loader(spark, tables.Layers(str(tmp_path)))
+    source = StubDatabase(spark.createDataFrame(make_rows(random.Random(5), 80), SCHEMA))
+    loader.run(spec, source, start=20240105, end=20240107)
+    assert source.asked == [
+        ("columns", "public.things", "shop"),
+        ("measured", "public.things"),
+        ("read_spans", "public.things", ("created_at", "updated_at"), ((date(2024, 1, 5), date(2024, 1, 8)),)),
+    ]
+    loader.run(replace(spec, date_trunc=None), source)
+    assert source.asked[3:] == [("columns", "public.things", "shop"), ("read", "public.things", "id")]
+    assert spark.table("snp.driven").count() == 80
+
+
+DRIFTS = {
+    "new": ("*", "1 as extra", "extra"),
+    "missing": ("id", "created_at", "updated_at", "name"),
+    "wider": ("id", "cast(amount as double) as amount", "name", "created_at", "updated_at", "amount"),
+    "nested": ("id", "array(1) as amount", "name", "created_at", "updated_at", "amount"),
+}
+
+
+@pytest.mark.parametrize("kind", DRIFTS)
+def test_drift_is_an_error_and_changes_nothing(spark, tmp_path, kind):
+    *columns, named = DRIFTS[kind]
+    spec = replace(SPEC, target_table=f"drift_{kind}")
+    loader = load.Loader(spark, tables.Layers(str(tmp_path)))
+    rows = spark.createDataFrame(make_rows(random.Random(6), 40), SCHEMA).withColumn("amount", F.lit(7))
+    loader.load_full(spec, rows)
+    state = lambda: [bag(spark.table(t)) for t in (f"saa.drift_{kind}", f"snp.drift_{kind}", "engine.launch_log")]
+    before = state()
+    changed = rows.drop("name") if kind == "missing" else rows.selectExpr(*columns)
+    for attempt in (lambda: loader.load_full(spec, changed), lambda: loader.load(spec, changed, start=20240105)):
+        with pytest.raises(tables.SchemaDrift, match=named):
+            attempt()
+    assert state() == before
+
+
+def test_new_columns_are_added_on_demand(spark, tmp_path):
+    spec = replace(SPEC, target_table="grown")
+    layers = tables.Layers(str(tmp_path))
+    rows = spark.createDataFrame(make_rows(random.Random(7), 60), SCHEMA)
+    load.Loader(spark, layers).load_full(spec, rows)
+    load.Loader(spark, layers, on_new_columns="add").load(spec, rows.withColumn("extra", F.col("id") * 2), start=20240105)
+    snapshot = spark.table("snp.grown")
+    day = "created_at >= '2024-01-05' and created_at < '2024-01-06' or updated_at >= '2024-01-05' and updated_at < '2024-01-06'"
+    assert snapshot.count() == 60
+    assert snapshot.where(f"coalesce({day}, false) and (extra is null or extra <> id * 2)").count() == 0
+    assert snapshot.where(f"not coalesce({day}, false) and extra is not null").count() == 0
+    with pytest.raises(ValueError, match="on_new_columns"):
+        load.Loader(spark, layers, on_new_columns="drop").load_full(spec, rows)
+
+
+def test_a_table_of_the_same_shape_is_never_missing(spark, tmp_path, monkeypatch):
+    layers = tables.Layers(str(tmp_path)).create(spark)
+    tables.materialise(spark, layers, "steady", spark.range(3))
+    statements = []
+    plain = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **k: statements.append(text) or plain(self, text, *a, **k))
+    tables.materialise(spark, layers, "steady", spark.range(5))
+    assert not [t for t in statements if "DROP" in t] and spark.table("analytics.steady").count() == 5
+    tables.materialise(spark, layers, "steady", spark.range(4).withColumn("x", F.lit("a")))
+    assert spark.table("analytics.steady").columns == ["id", "x"]
