@@ -308,6 +308,21 @@ ORACLE: dict[str, str] = {
                   updated_at, 'L0' as launch_id
            from source""",
     ),
+    "load_with_new_column": _with(
+        WEEKLY,
+        "select * replace (case when launch_id <> 'L0' then o_orderpriority end as o_orderpriority) from loaded",
+    ),
+    "launch_log": _with(
+        [SOURCE],
+        """select 'L0' as launch_id, count(*) as staged from source where created_at < timestamp '2000-01-01'
+           union all
+           select 'L-' || strftime(week, '%Y-%m-%d'), count(*)
+           from source, (values (timestamp '1999-12-27'), (timestamp '2000-01-03')) as weeks(week)
+           where date_trunc('week', created_at) = week or date_trunc('week', updated_at) = week
+           group by week""",
+    ),
+    "materialised_file": """
+        select o_orderpriority, count(*) as orders, max(o_orderdate) as last_order from orders group by 1""",
     "completeness": _with(
         WEEKLY,
         """select period, coalesce(source_rows, 0) as source_rows, coalesce(target_rows, 0) as target_rows,

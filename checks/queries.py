@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
 from functools import reduce
+from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -239,6 +240,38 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
 
 
+def load_with_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first load comes before the source has its priority column; the second brings it."""
+    loader, spec = _loader(spark)
+    source = _source(spark, sf_dir)
+    before = source.where(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz"))
+    loader.load_full(spec, before.drop("o_orderpriority"))
+    loader.on_new_columns = "add"
+    loader.load(spec, source, start=WEEKS[0], end=WEEKS[-1])
+    return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
+
+
+def launch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Logged launches of a full and an incremental load, with the rows that each staged."""
+    layers = tables.Layers(fresh_dir(spark, "load"), log=f"engine_{uuid.uuid4().hex}")
+    loader = load.Loader(spark, layers, _name_launch)
+    spec = replace(SPEC, target_table=f"orders_{uuid.uuid4().hex}")
+    source = _source(spark, sf_dir)
+    loader.load_full(spec, source.where(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz")))
+    loader.load(spec, source, start="19991227", interval=13)
+    staged = spark.table(f"{layers.staging}.{spec.target_table}").groupBy(con.LAUNCH_ID).agg(F.count(F.lit(1)).alias("staged"))
+    logged = spark.table(f"{layers.log}.launch_log").where("log_dtime is not null")
+    return logged.join(staged, con.LAUNCH_ID, "left").select(con.LAUNCH_ID, "staged")
+
+
+def materialised_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layers = tables.Layers(fresh_dir(spark, "mart")).create(spark)
+    name = f"orders_by_priority_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "orders").createOrReplaceTempView("sample_orders")
+    tables.materialise(spark, layers, name, Path(__file__).with_name("orders_by_priority.sql"))
+    return spark.table(f"{layers.analytics}.{name}")
+
+
 def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = _incremental(spark, sf_dir, WEEKS, "week")
     return quality.completeness(_source(spark, sf_dir), loaded, "created_at", "month")
@@ -279,6 +312,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_snapshot,
         load_incremental,
         load_full,
+        load_with_new_column,
+        launch_log,
+        materialised_file,
         completeness,
         delimited_text,
     )
