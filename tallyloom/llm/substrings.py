@@ -41,6 +41,8 @@ from tallyloom.session import fresh_dir
 WINDOW = 20
 BLOCK = 10
 BUNDLE_BYTES = 2_000_000
+# Spark's own limit of buckets per table.
+MOST_BUCKETS = 100_000
 #: Entries that a task gets at once, about (as a power of two).
 BUCKET_BITS = 20
 KEY_BITS = 30
@@ -70,7 +72,7 @@ def bundles(docs: DataFrame, text: str, bundle: str, seq: str) -> DataFrame:
                 size += n
 
     name = f"bundles_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(MOST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     (
         docs.mapInArrow(cut, schema)
         .write.bucketBy(buckets, bundle)
