@@ -60,7 +60,7 @@ def words_of(text: Column) -> Column:
     ``lower`` also turns other letters into small ones, which no word boundary depends on. The Kelvin sign would become
     an ASCII k, so it is put out of the way first.
     """
-    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("ĸ")))
+    low = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
     return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
