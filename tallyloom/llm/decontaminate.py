@@ -3,9 +3,10 @@
 A seed is a window of ``SPAN`` words of which a fixed mask ignores some, so that two windows have the same hash although the
 ignored words differ. All seeds of the benchmark are an index table. All seeds of every document are looked up
 first in a bitmap of the index, whose size is bounded whatever the benchmark's; what passes is joined with the index by
-mask and hash. A hit gives the offset between document and item. Along it the words are compared one by one, and the best stretch
-(an equal word counts 1, a differing one -3) is a leak if it has ``MIN_WORDS`` words, or all of the item if that has
-fewer, and at least ``MIN_SHARE`` of them are equal.
+mask and hash. A hit gives the offset between document and item. Along it the words are compared one by one, and a stretch
+is a leak if it has ``MIN_WORDS`` words, or all of the item if that has fewer, and at least ``MIN_SHARE`` of them are
+equal. The stretch reported is the best one (an equal word counts 1, a differing one -3) if it is a leak, as it leaves out
+what only surrounds a copy; otherwise the longest one of which enough words are equal.
 
 The masks find every stretch of 13 words with up to 2 substitutions and of 16 with up to 3, wherever they stand. Words are runs of digits, letters
 a-z (A-Z in lower case) and characters beyond ASCII.
@@ -33,6 +34,8 @@ SPAN = len(MASKS[0])
 MIN_WORDS = 13
 MIN_SHARE = 0.8
 MISMATCH = 3
+#: Equal words that make up for a differing one at ``MIN_SHARE``.
+MAKES_UP = 4
 #: Places that a seed takes in the bitmap, places of the bitmap per seed, and its largest size (as a power of two).
 PROBES = 3
 PLACES_PER_SEED = 256
@@ -112,17 +115,27 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     return start, end
 
 
+def longest_stretch(equal: np.ndarray) -> tuple[int, int]:
+    """(start, end) of the longest stretch with at least ``MIN_SHARE`` equal words; the first of equally long ones."""
+    total = np.concatenate(([0], np.cumsum(np.where(equal, 1, -MAKES_UP))))
+    # A stretch has the share if the sum does not fall over it. The first place as low as its end starts the longest.
+    starts = np.searchsorted(-np.minimum.accumulate(total), -total)
+    end = int((np.arange(len(total)) - starts).argmax())
+    return int(starts[end]), end
+
+
 def verify(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int, int] | None:
     """(start in the document, start in the item, words, equal words) of the leak along ``shift``, or None."""
     low, high = max(0, -shift), min(len(item), len(doc) - shift)
     if high <= low:
         return None
     equal = item[low:high] == doc[low + shift : high + shift]
-    start, end = best_stretch(equal)
-    n, same = end - start, int(equal[start:end].sum())
-    if n < min(MIN_WORDS, len(item)) or same < MIN_SHARE * n:
-        return None
-    return low + shift + start, low + start, n, same
+    for stretch in (best_stretch, longest_stretch):
+        start, end = stretch(equal)
+        n, same = end - start, int(equal[start:end].sum())
+        if n >= min(MIN_WORDS, len(item)) and same >= MIN_SHARE * n:
+            return low + shift + start, low + start, n, same
+    return None
 
 
 def word_array(text: str) -> np.ndarray:

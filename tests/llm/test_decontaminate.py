@@ -40,6 +40,34 @@ def test_masks_find_every_pattern_of_substitutions(n, k):
         )
 
 
+def test_longest_stretch_against_all():
+    rng = random.Random(8)
+    for _ in range(300):
+        equal = np.array([rng.random() < 0.7 for _ in range(rng.randrange(1, 30))])
+        a, b = D.longest_stretch(equal)
+        lengths = [
+            y - x for x in range(len(equal)) for y in range(x + 1, len(equal) + 1) if 5 * int(equal[x:y].sum()) >= 4 * (y - x)
+        ]
+        assert b - a == max(lengths, default=0) and 5 * int(equal[a:b].sum()) >= 4 * (b - a)
+
+
+@pytest.mark.parametrize("n,k", [(13, 2), (16, 3)])
+def test_every_pattern_of_substitutions_is_a_leak(spark, n, k):
+    """A passage in the middle of a longer item, in documents that share nothing else with it."""
+    passage = [f"p{i}" for i in range(n)]
+    around = lambda name: " ".join(f"{name}{i}" for i in range(20))
+    item = f"{around('a')} {' '.join(passage)} {around('b')}"
+    texts = []
+    for pattern in itertools.combinations(range(n), k):
+        changed = ["other" if i in pattern else w for i, w in enumerate(passage)]
+        texts.append(f"{around('c')} {' '.join(changed)} {around('d')}")
+    few = [around("c"), " ".join(passage[:10]), f"{around('c')} {' '.join(passage[:10])} {around('d')}"]
+    bench = spark.createDataFrame([(0, item)], "item_id long, text string")
+    rows = D.leaks(documents(spark, texts + few), bench).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(len(texts)))
+    assert all(r["n_words"] >= 13 and r["n_equal"] >= 0.8 * r["n_words"] for r in rows)
+
+
 def fixture(spark):
     rng = random.Random(7)
     words = ["w%d" % i for i in range(2000)]
