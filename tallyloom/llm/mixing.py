@@ -11,8 +11,12 @@ aggregation of the gradient and curvature per source; a bracket around each root
 A target at its limit has rate ``MOST`` for all, one at zero has rate 0.
 
 Copies. Documents of one source and size have one rate, so all sums run over cells (source, size, block), a block
-being a bounded share of the cell by a hash of the id. Cells round their expected extra copies against the running sum of
-the source, in words, and deal them to their documents in hash order. Nothing is drawn at random, so reruns agree.
+being a bounded share of the cell by a hash of the id. Cells are rounded from the longest documents down, in words: each takes
+what the source's target leaves after the longer ones, less what the rates give the shorter ones, and never so much or so
+little that the shorter ones can't make up for it. Where one document is more than ``1 / LARGE`` of what is left of its source,
+the rates of the shorter ones are then solved again. So a source misses its target by at most half a document that is
+longer than ``MOST`` times all shorter ones together. Cells deal their copies to their documents in hash order. Nothing is drawn
+at random, so reruns agree.
 
 Defined cases: a null or empty text has size 0, and its rate does not matter: it is taken once, as 0 words.
 An empty table, or one without words, gives targets of 0. Null ids and equal rows are documents of their own;
@@ -21,6 +25,10 @@ which of several equal rows gets an extra copy is open, but the rows that come o
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +43,9 @@ MAX_ROUNDS = 60
 #: A source is done when its expected words are this close to its target, as a share of its size.
 CLOSE = 1e-7
 STEEPEST = 700.0
+#: A document of more than this part of what is left of its source has the rates of the rest solved again.
+LARGE = 64
+HALVINGS = 100
 
 
 def size_of(text: Column) -> Column:
@@ -135,6 +146,59 @@ def multipliers(cells: DataFrame, wanted: DataFrame) -> DataFrame:
     return state
 
 
+def rest_rates(sizes: np.ndarray, docs: np.ndarray, target: float) -> np.ndarray:
+    """The tilted rates of the given cells that make ``target`` words, as near as rates from 0 to ``MOST`` can."""
+    words = sizes * docs
+    if target <= 0 or target >= MOST * words.sum():
+        return np.where(sizes > 0, 0.0 if target <= 0 else float(MOST), 1.0)
+    scale = sizes / (words.sum() / docs.sum())
+
+    def rates(multiplier: float) -> np.ndarray:
+        return MOST / (1 + (MOST - 1) * np.exp(-np.clip(multiplier * scale, -STEEPEST, STEEPEST)))
+
+    low, high = -1.0, 1.0
+    furthest = STEEPEST / scale[sizes > 0].min()
+    while rates(low) @ words > target and -low < furthest:
+        low *= 2
+    while rates(high) @ words < target and high < furthest:
+        high *= 2
+    for _ in range(HALVINGS):
+        middle = (low + high) / 2
+        low, high = (middle, high) if rates(middle) @ words < target else (low, middle)
+    return rates(high)
+
+
+def whole_copies(sizes: np.ndarray, docs: np.ndarray, rates: np.ndarray, target: float) -> np.ndarray:
+    """Copies that the cells of one source take together; cells go down in size."""
+    out, words = docs.copy(), sizes * docs
+    rest = np.append(np.cumsum(words[::-1])[::-1], 0)
+    later = np.append(np.cumsum((rates * words)[::-1])[::-1], 0)
+    left = float(target)
+    for i in np.flatnonzero(sizes):
+        size, n = float(sizes[i]), int(docs[i])
+        # Copies that leave the rest between nothing and MOST times its words; if there are none, the nearest ones.
+        most = min(max(left / size, 0.0), MOST * n)
+        least = min(max((left - MOST * float(rest[i + 1])) / size, 0.0), most)
+        low, high = math.ceil(least), math.floor(most)
+        if low <= high:
+            out[i] = min(max(math.floor((left - float(later[i + 1])) / size + 0.5), low), high)
+        else:
+            out[i] = high if least - high <= low - most else low
+        left -= size * float(out[i])
+        if size * LARGE > rest[i] and rest[i + 1]:
+            again = rest_rates(sizes[i + 1 :], docs[i + 1 :], left) * words[i + 1 :]
+            later[i + 1 : -1] = np.cumsum(again[::-1])[::-1]
+    return out
+
+
+def dealt_copies(cells: pd.DataFrame) -> pd.DataFrame:
+    """(s, z, b, n, total): the documents and copies of each cell of one source."""
+    cells = cells.sort_values(["size", "block"], ascending=[False, True])
+    sizes, docs = cells["size"].to_numpy(np.int64), cells["docs"].to_numpy(np.int64)
+    total = whole_copies(sizes, docs, cells["rate"].to_numpy(float), float(cells["target"].iloc[0]))
+    return pd.DataFrame({"s": cells["source"], "z": sizes, "b": cells["block"], "n": docs, "total": total})
+
+
 def mix(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """(key, size, source_size, target, copies, taken) of every document."""
     numbered = docs.select(
@@ -180,23 +244,14 @@ def row_mix(numbered: DataFrame) -> DataFrame:
     same = F.expr("source <=> s and size = z")
     placed = sized.join(rates, same).drop("s", "z").withColumn("block", F.pmod(F.col("draw"), F.col("blocks")).cast("int"))
     cell = ["source", "size", "block"]
-    extra = F.col("rate") - F.floor("rate")
     per_cell = placed.groupBy(*cell).agg(
-        F.count(F.lit(1)).alias("docs"), F.first(extra).alias("extra")
-    )
-    # Running sums go up in size, so what one cell's rounding leaves over goes to documents about as long.
-    running = Window.partitionBy("source").orderBy("size", "block").rowsBetween(Window.unboundedPreceding, 0)
-    share = F.col("docs") * F.col("extra")
-    upto = F.sum(share).over(running)
-    dealt = per_cell.select(
-        F.col("source").alias("s"), F.col("size").alias("z"), F.col("block").alias("b"),
-        (F.floor(upto + 0.5) - F.floor(upto - share + 0.5)).alias("more"),
+        F.count(F.lit(1)).alias("docs"), F.first("rate").alias("rate"), F.first("target").alias("target")
     )
+    dealt = per_cell.groupBy("source").applyInPandas(dealt_copies, "s string, z long, b int, n long, total long")
     rank = F.row_number().over(Window.partitionBy(*cell).orderBy(F.hash("draw"), "draw", "key"))
     ranked = placed.withColumn("rank", rank)
-    copies = F.floor("rate") + F.when(F.col("rank") <= F.col("more"), 1).otherwise(0)
+    each = F.floor(F.col("total") / F.col("n"))
+    copies = (each + F.when(F.col("rank") <= F.col("total") - each * F.col("n"), 1).otherwise(0)).cast("long")
     return ranked.join(dealt, F.expr("source <=> s and size = z and block = b")).select(
-        "row", "key", "size", "source_size", "target",
-        F.least(copies, F.lit(MOST)).cast("long").alias("copies"),
-        (F.least(copies, F.lit(MOST)) * F.col("size")).cast("long").alias("taken"),
+        "row", "key", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from helpers import documents, empty, with_clashes
@@ -91,3 +92,38 @@ def test_all_columns_stay(spark):
     found = mixing.with_copies(docs)
     assert found.columns == [*docs.columns, "size", "source_size", "target", "copies", "taken"]
     assert found.count() == docs.count()
+
+
+def error_bound(sizes):
+    """Half of the largest document that is longer than three times all shorter ones together."""
+    above, shorter = 0, 0
+    for s in sorted(sizes):
+        above = max(above, s - 3 * shorter)
+        shorter += s
+    return above / 2
+
+
+@pytest.mark.parametrize("longest", [[20_000], [60_000], [200_000], [60_000, 50_000, 9_000], [2_000_000]])
+def test_few_dominant_documents_keep_the_target(longest):
+    rng = random.Random(12)
+    for _ in range(20):
+        sizes = sorted([*longest, *(rng.randrange(100, 601) for _ in range(200))], reverse=True)
+        target = sum(sizes) * rng.choice([0.3, 0.9, 1.3, rng.uniform(0, 3)])
+        z, docs = np.array(sizes), np.ones(len(sizes), int)
+        copies = mixing.whole_copies(z, docs, mixing.rest_rates(z, docs, target), target)
+        assert copies.min() >= 0 and copies.max() <= 3
+        assert abs(copies @ z - target) <= error_bound(sizes) + 1e-6
+
+
+def test_sources_with_a_dominant_document_keep_the_target(spark):
+    rng = random.Random(13)
+    docs, sizes = None, {}
+    for k, (source, long) in enumerate((("a", 20_000), ("b", 60_000), ("c", 200_000))):
+        sizes[source] = [long, *(rng.randrange(100, 601) for _ in range(200))]
+        texts = [" ".join(["w"] * n) for n in sizes[source]]
+        part = documents(spark, texts, source=source, ids=range(1000 * k, 1000 * k + len(texts)))
+        docs = part if docs is None else docs.unionByName(part)
+    wanted, taken = plain_targets({s: sum(z) for s, z in sizes.items()}), dict.fromkeys(sizes, 0)
+    for r in mixing.mix(docs).collect():
+        taken["abc"[r["doc_id"] // 1000]] += r["taken"]
+    assert all(abs(taken[s] - wanted[s]) <= error_bound(sizes[s]) + 1 for s in sizes)
