@@ -8,10 +8,13 @@ is a leak if it has ``MIN_WORDS`` words, or all of the item if that has fewer, a
 equal. The stretch reported is the best one (an equal word counts 1, a differing one -3) if it is a leak, as it leaves out
 what only surrounds a copy; otherwise the longest one of which enough words are equal.
 
+Items of fewer words than a seed are looked up whole: by the hash of all their words, in windows of as many words. A document
+that holds one of them is a leak if it has it word for word, and the first place of it is taken.
+
 The masks find every stretch of 13 words with up to 2 substitutions and of 16 with up to 3, wherever they stand. Words are runs of digits, letters
 a-z (A-Z in lower case) and characters beyond ASCII.
 
-Defined cases: a null or empty text, and an item of fewer words than a seed, has no leaks. Null ids and equal rows are
+Defined cases: a null or empty text, and an item without words, has no leaks. Null ids and equal rows are
 documents and items of their own. An empty benchmark or an empty table gives no rows. If the index outgrows the bitmap, more
 seeds than needed are joined; the result is the same.
 """
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import keep, new_name
-from tallyloom.llm.words import IS_MARK, WINDOW_BASES, mix, powers, split_words, window_starts, word_hashes
+from tallyloom.llm.words import IS_MARK, WINDOW_BASES, mix, powers, split_words, window_hashes, window_starts, word_hashes
 
 # 1 marks the words that count.
 MASKS = ("00111111", "01101111", "11010111", "11111001")
@@ -60,11 +63,33 @@ def seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return text, at - words.first[text], found
 
 
+def whole_windows(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place in its words, hash) of all windows of ``size`` words of a batch, none of them left out."""
+    words = split_words(texts, lower=True, between=IS_MARK)
+    at = window_starts(words, size)
+    text = words.text_of_word()[at]
+    return text, at - words.first[text], window_hashes(word_hashes(words), size)[at]
+
+
+def short_mask(size: int) -> int:
+    """The number that stands for whole windows of ``size`` words, after those of the masks."""
+    return len(MASKS) + size - 1
+
+
 def seed_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(item, place, mask, hash) of the benchmark's seeds."""
+    """(item, place, mask, hash) of the benchmark's seeds; an item shorter than a seed has one of all its words."""
     for batch in batches:
-        text, place, found = seeds([t if isinstance(t, str) else None for t in batch["text"]])
+        texts = [t if isinstance(t, str) else None for t in batch["text"]]
         items = batch["item"].to_numpy()
+        n_words = split_words(texts, lower=True, between=IS_MARK).counts()
+        for size in range(1, SPAN):
+            short = np.flatnonzero(n_words == size)
+            if len(short):
+                _, place, found = whole_windows([texts[i] for i in short], size)
+                yield pd.DataFrame(
+                    {"item": items[short], "place": place, "mask": np.int32(short_mask(size)), "hash": found.view(np.int64)}
+                )
+        text, place, found = seeds(texts)
         for m in range(len(MASKS)):
             yield pd.DataFrame(
                 {"item": items[text], "place": place, "mask": np.int32(m), "hash": found[m].view(np.int64)}
@@ -105,6 +130,22 @@ def passes(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out.reshape(hashes.shape)
 
 
+def passing(
+    table: np.ndarray, text: np.ndarray, place: np.ndarray, hashes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    kept = passes(table, hashes)
+    return text[kept], place[kept], hashes[kept]
+
+
+def first_of_each(text: np.ndarray, place: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first place of each hash in each text, as a word may stand in a text many times; windows come in their order."""
+    order = np.lexsort((place, hashes, text))
+    text, place, hashes = text[order], place[order], hashes[order]
+    fresh = np.ones(len(text), bool)
+    fresh[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
+    return text[fresh], place[fresh], hashes[fresh]
+
+
 def best_stretch(equal: np.ndarray) -> tuple[int, int]:
     """(start, end) of the stretch with the largest sum of 1 per equal word and -MISMATCH per other; the first of equal ones."""
     total = np.concatenate(([0], np.cumsum(np.where(equal, 1, -MISMATCH))))
@@ -130,6 +171,9 @@ def verify(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int
     if high <= low:
         return None
     equal = item[low:high] == doc[low + shift : high + shift]
+    if len(item) < SPAN:
+        whole = len(equal) == len(item) and equal.all()
+        return (low + shift, low, len(item), len(item)) if whole else None
     for stretch in (best_stretch, longest_stretch):
         start, end = stretch(equal)
         n, same = end - start, int(equal[start:end].sum())
@@ -181,24 +225,31 @@ def row_leaks(numbered: DataFrame, benchmark: DataFrame, item_text: str, item: s
     )
     index = keep(items.select("item", "text").mapInPandas(seed_rows, "item long, place long, mask int, hash long"), "seeds")
     table = numbered.sparkSession.sparkContext.broadcast(bitmap(index))
+    masks = {r["mask"] for r in index.where(F.col("mask") >= len(MASKS)).select("mask").distinct().collect()}
+    short_sizes = [size for size in range(1, SPAN) if short_mask(size) in masks]
 
     def suspects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for i in range(0, len(batch), 256):
                 part = batch.iloc[i : i + 256]
-                text, place, found = seeds([t if isinstance(t, str) else None for t in part["text"]])
-                passed = passes(table.value, found)
-                mask, window = np.nonzero(passed)
+                texts = [t if isinstance(t, str) else None for t in part["text"]]
+                text, place, found = seeds(texts)
+                mask, window = np.nonzero(passes(table.value, found))
+                text, place, found = text[window], place[window], found[mask, window]
+                for size in short_sizes:
+                    of, at, hashes = first_of_each(*passing(table.value, *whole_windows(texts, size)))
+                    text, place, found = np.append(text, of), np.append(place, at), np.append(found, hashes)
+                    mask = np.append(mask, np.full(len(of), short_mask(size)))
                 if not len(mask):
                     continue
-                order = np.argsort(text[window], kind="stable")
-                mask, window = mask[order], window[order]
-                hit, starts = np.unique(text[window], return_index=True)
+                order = np.argsort(text, kind="stable")
+                mask, place, found = mask[order], place[order], found[order]
+                hit, starts = np.unique(text[order], return_index=True)
                 cuts = starts[1:]
                 rows = part.iloc[hit].copy()
                 rows["masks"] = np.split(mask.astype(np.int32), cuts)
-                rows["hashes"] = np.split(found[mask, window].view(np.int64), cuts)
-                rows["places"] = np.split(place[window], cuts)
+                rows["hashes"] = np.split(found.view(np.int64), cuts)
+                rows["places"] = np.split(place, cuts)
                 yield rows
 
     kind = numbered.schema["key"].dataType.simpleString()

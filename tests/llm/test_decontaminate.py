@@ -132,3 +132,17 @@ def test_query_finds_every_whole_item(spark, sample_dir):
     whole = {(d[0], i[0]) for d in docs for i in items if clean(i[1]) in clean(d[1])}
     found = {(r["doc_id"], r["item_id"]) for r in QUERIES["op4_decontamination"](spark, sample_dir).collect()}
     assert whole and found == whole
+
+
+def test_items_shorter_than_a_seed(spark):
+    words = [f"s{i}" for i in range(7)]
+    items = [" ".join(words[:n]) for n in range(1, 8)] + ["Common", "", "漢字"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [" ".join(["x", *words[:n], "y", *words[:n]]) for n in range(8)]
+    docs += ["common " * 3000, "s0 s1 other s3 s4 s5 s6", ", ".join(w.upper() for w in words), None, "", "漢字"]
+    clean = lambda t: " " + " ".join((t or "").lower().replace(",", "").split()) + " "
+    expected = {(d, i) for d, t in enumerate(docs) for i, item in enumerate(items) if item and clean(item) in clean(t)}
+    rows = D.leaks(documents(spark, docs), bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == expected and len(rows) == len(expected)
+    assert all(r["n_words"] == r["n_equal"] == len(items[r["item_id"]].split()) for r in rows)
+    assert {r["doc_start"] for r in rows if r["doc_id"] < 8} == {1}
