@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet to the shared folder and read
 again as the next stage's documents. Stages keep all columns of the documents; the last adds what the mix takes.
-Each works on whatever its predecessor kept, and its decisions take effect.
+Each works on whatever its predecessor kept, and its decisions take effect. ``run`` gives the last stage's table, one row per
+document; ``corpus`` gives the corpus itself, in which every document stands as often as the mix takes it.
 """
 
 from __future__ import annotations
@@ -64,3 +65,14 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = keep(stage(spark, docs, sf_dir), name)
     return docs
+
+
+def repeated(mixed: DataFrame) -> DataFrame:
+    """Each row of the mix as often as its ``copies`` say, not at all for 0; all columns as they are."""
+    at = new_name("_copy", mixed.columns)
+    return mixed.withColumn(at, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).drop(at)
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows to train on."""
+    return repeated(run(spark, sf_dir))

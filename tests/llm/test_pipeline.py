@@ -78,3 +78,28 @@ def test_awkward_documents(spark, sample_dir):
                 assert left.columns == docs.columns
         # Texts without words are one group of near copies; so are the three long ones.
         assert left.count() == (0 if given is not docs else 3)
+
+
+def test_the_corpus_holds_every_document_as_often_as_the_mix_takes_it(spark, sample_dir, steps, monkeypatch):
+    import __spark_entry__ as entry
+
+    mixed = steps[-1][1]
+    monkeypatch.setattr(corpus_pipeline, "run", lambda spark, sf_dir: mixed)
+    found = entry.queries()["pipeline"](spark, sample_dir)
+    assert found.columns == mixed.columns
+    rows = mixed.collect()
+    assert {r["copies"] for r in rows} - {1}
+    expected = sorted(repr(tuple(r)) for r in rows for _ in range(r["copies"]))
+    assert sorted(repr(tuple(r)) for r in found.collect()) == expected
+    words = {}
+    for r in found.collect():
+        words[r["source"]] = words.get(r["source"], 0) + r["size"]
+    taken = {}
+    for r in rows:
+        taken[r["source"]] = taken.get(r["source"], 0) + r["taken"]
+    assert words == {s: n for s, n in taken.items() if n}
+
+
+def test_rows_without_copies_go(spark):
+    mixed = spark.createDataFrame([(1, 0), (2, 1), (2, 1), (None, 3)], "doc_id long, copies long")
+    assert sorted(ids(corpus_pipeline.repeated(mixed)), key=str) == [2, 2, None, None, None]
