@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontaminate, langid, licenses, mixing, simhash, substrings, tokens, topk, toxicity
+from tallyloom.llm import bpe, chat, decontaminate, langid, licenses, merkle, mixing, runs, simhash, substrings, tokens, topk, toxicity
 from tallyloom.llm.common import read_table
 
 TOKEN_LIMIT = 2048
@@ -69,6 +69,47 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.link(chat.as_tool_traffic(conversations), chat.REPLY)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    proofs = merkle.prove(merkle.build(docs, carry={"tampered": F.when(hit, merkle.tampered_leaf())}))
+    folded = proofs.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf"), F.col("steps")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(merkle.proof_text(F.col("steps")), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return encoded.select(
+        "doc_id",
+        bpe.token_count(F.col("ids")).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(docs.withColumn("text", runs.planted(F.col("doc_id"), F.col("text"))))
+    longest = runs.longest(F.col("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[longest[c].alias(c) for c in ("start", "length", "period")],
+        longest["exponent_milli"].alias("exponent_milli"),
+        F.sha2(runs.listing(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_exact_topk": op2_exact_topk,
@@ -80,10 +121,14 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_bpe_roundtrip": op12_bpe_roundtrip,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
     "op2_exact_topk": topk.ORACLE_SQL,
     "op5_license_scan": licenses.ORACLE_SQL,
     "op10_chat_formatting": chat.ORACLE_SQL,
+    "op11_merkle_manifest": merkle.ORACLE_SQL,
 }

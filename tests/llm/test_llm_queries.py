@@ -14,7 +14,7 @@ ROOT = Path(__file__).parents[2]
 
 def test_every_operator_is_registered_once():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
-    assert numbers == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert numbers == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
