@@ -224,6 +224,18 @@ from source
 where date_trunc('week', created_at) = timestamp '1999-12-27'
    or date_trunc('week', updated_at) = timestamp '1999-12-27'"""
 
+# Orders and the same orders with a few other prices: every row counts for the one and against the other.
+RETOLD = [
+    SOURCE,
+    """retold as (select * replace (case when o_orderkey % 9973 = 7 then o_totalprice + 1 else o_totalprice end as o_totalprice)
+       from source)""",
+    """apart as (
+       select created_at, o_custkey, o_orderdate, o_orderkey, o_orderpriority, o_orderstatus, o_totalprice, updated_at,
+              cast(sum(here) as bigint) as in_source, cast(sum(there) as bigint) as in_target
+       from (select *, 1 as here, 0 as there from source union all select *, 0, 1 from retold)
+       group by 1, 2, 3, 4, 5, 6, 7, 8 having sum(here) <> sum(there))""",
+]
+
 ORACLE: dict[str, str] = {
     "calendar": _with(
         [SHIFTS],
@@ -302,6 +314,8 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_snapshot": _with(MONTHLY, "select * from loaded"),
     "load_incremental": _with(WEEKLY, "select * from loaded"),
+    "load_resumed": _with(WEEKLY, "select * from loaded"),
+    "vacuumed_snapshot": _with(WEEKLY, "select * from loaded"),
     "load_full": _with(
         [SOURCE],
         """select created_at, o_custkey, o_orderdate, o_orderkey, o_orderpriority, o_orderstatus, o_totalprice,
@@ -332,6 +346,13 @@ ORACLE: dict[str, str] = {
            full join (select cast(date_trunc('month', created_at) as date) as period, count(*) as target_rows
                       from loaded group by 1) using (period)""",
     ),
+    "same_content": _with(
+        RETOLD,
+        """select period, source_rows, source_rows as target_rows, true as complete,
+                  period not in (select cast(date_trunc('month', created_at) as date) from apart) as same
+           from (select cast(date_trunc('month', created_at) as date) as period, count(*) as source_rows from source group by 1)""",
+    ),
+    "row_differences": _with(RETOLD, "select * from apart"),
     "delimited_text": f"""
         select *, case doc_id % 3 when 0 then '' when 1 then lang end as note from ({CLEAN_DOCUMENTS})""",
 }

@@ -21,7 +21,7 @@ from tallyloom.operators import extract as ext
 from tallyloom.operators import intervals, quality, skew, upsert
 from tallyloom.plans import load, shifts
 from tallyloom.session import fresh_dir
-from tallyloom.sources import delimited, tables
+from tallyloom.sources import delimited, snapshot, tables
 
 # The sample orders run from 1995-01-01 to 2001-08-01.
 CALENDAR = cal.Calendar.upto(date(2001, 12, 28), start=date(1995, 1, 1))
@@ -212,8 +212,8 @@ def upsert_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _incremental(spark: SparkSession, sf_dir: str, periods: list[date], unit: str) -> DataFrame:
     launches = load.name_launches(periods, _name_launch)
     heavy = skew.heavy_keys(table(spark, sf_dir, "orders"), "o_orderkey")
-    snapshot, source = _old_snapshot(spark, sf_dir), _source(spark, sf_dir)
-    return load.incremental_snapshot(snapshot, source, launches, "created_at", unit, "o_orderkey", heavy=heavy)
+    old, source = _old_snapshot(spark, sf_dir), _source(spark, sf_dir)
+    return load.incremental_snapshot(old, source, launches, "created_at", unit, "o_orderkey", heavy=heavy)
 
 
 def incremental_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +240,29 @@ def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
 
 
+def load_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load ends when its rows are staged; another loader carries it on from the journal."""
+    loader, spec = _loader(spark)
+    source = _source(spark, sf_dir)
+    loader.load_full(spec, source.where(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz")))
+    loader.load(spec, source, start=WEEKS[0], end=WEEKS[-1], apply=False)
+    load.Loader(spark, loader.layers).resume(spec)
+    return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
+
+
+def vacuumed_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot of an incremental load when all that only its former state needs is removed."""
+    loader, spec = _loader(spark)
+    source = _source(spark, sf_dir)
+    loader.load_full(spec, source.where(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz")))
+    loader.load(spec, source, start=WEEKS[0], end=WEEKS[-1])
+    found = snapshot.SnapshotTable(
+        spark, loader.layers, spec.target_table, spec.partitioning_field, spec.key, spec.partition_unit, spec.clustering_field
+    )
+    found.vacuum(keep=1)
+    return found.read()
+
+
 def load_with_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first load comes before the source has its priority column; the second brings it."""
     loader, spec = _loader(spark)
@@ -277,6 +300,21 @@ def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.completeness(_source(spark, sf_dir), loaded, "created_at", "month")
 
 
+def _retold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders, and as many orders with a few other prices."""
+    source = _source(spark, sf_dir)
+    price = F.when(F.col("o_orderkey") % 9973 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return source, source.withColumn("o_totalprice", price)
+
+
+def same_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.same_content(*_retold(spark, sf_dir), "created_at", "month")
+
+
+def row_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.differences(*_retold(spark, sf_dir), "created_at", "month")
+
+
 def delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     note = F.expr("case doc_id % 3 when 0 then '' when 1 then lang end")
     cleaned = con.clean_text(table(spark, sf_dir, "documents")).withColumn("note", note)
@@ -312,10 +350,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_snapshot,
         load_incremental,
         load_full,
+        load_resumed,
+        vacuumed_snapshot,
         load_with_new_column,
         launch_log,
         materialised_file,
         completeness,
+        same_content,
+        row_differences,
         delimited_text,
     )
 }

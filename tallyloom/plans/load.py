@@ -8,13 +8,16 @@ from datetime import date
 from typing import Any, Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.operators.calendar import load_periods, resolve_interval
-from tallyloom.operators.conform import SourceColumn, measure, source_columns
+from tallyloom.operators.conform import LAUNCH_ID, SourceColumn, measure, source_columns
 from tallyloom.operators.extract import extract, extract_periods, has_updates, period_ranges
 from tallyloom.operators.skew import heavy_keys
 from tallyloom.operators.upsert import latest_launches, upsert
-from tallyloom.sources.tables import Layers, SnapshotTable, StagingTable, log_launches, new_launch_id
+from tallyloom.plans.journal import APPLIED, DROPPED, NAMED, STAGED, Journal, Load
+from tallyloom.sources.snapshot import SnapshotTable
+from tallyloom.sources.tables import Layers, StagingTable, log_launches, new_launch_id
 
 
 @dataclass(frozen=True)
@@ -88,6 +91,9 @@ class Loader:
 
     A source with a column less or of another type than its tables is an error, and nothing is written or
     logged. So is one with a new column, unless ``on_new_columns`` is ``add``: then the tables get it too, NULL in older rows.
+
+    Every load is noted in a journal. One that was cut off is carried on by ``resume``. A later load of the same table
+    first applies what is staged, and drops a load that isn't.
     """
 
     def __init__(
@@ -100,18 +106,22 @@ class Loader:
         self.spark = spark
         self.on_new_columns = on_new_columns
         self.layers = layers.create(spark)
+        self.journal = Journal(spark, layers).create()
         self.new_id = new_id
 
+    def _tables(self, spec: LoadSpec) -> tuple[StagingTable, SnapshotTable]:
+        snapshot = SnapshotTable(
+            self.spark, self.layers, spec.target_table, spec.partitioning_field, spec.key, spec.partition_unit,
+            spec.clustering_field,
+        )
+        return StagingTable(self.spark, self.layers, spec.target_table), snapshot
+
     def _prepare(
         self, spec: LoadSpec, source: DataFrame, columns: Sequence[SourceColumn] | None
     ) -> tuple[list[SourceColumn], StagingTable, SnapshotTable]:
         found = list(columns or source_columns(source))
         has_updates(found)
-        staging = StagingTable(self.spark, self.layers, spec.target_table)
-        snapshot = SnapshotTable(
-            self.spark, self.layers, spec.target_table, spec.partitioning_field, spec.key, spec.partition_unit,
-            spec.clustering_field,
-        )
+        staging, snapshot = self._tables(spec)
         # Text lengths decide only how the staging table is created, so a table that exists is not measured, nor is
         # one whose columns come with their lengths.
         if not self.spark.catalog.tableExists(staging.name):
@@ -158,35 +168,95 @@ class Loader:
         interval: int | None = None,
         columns: Sequence[SourceColumn] | None = None,
         anchor: str = "current",
+        apply: bool = True,
     ) -> LoadResult:
         """Incremental load of the periods between two days, or a full load if the spec has no period.
 
         All periods are staged in one scan of the source and one write, each under its own launch id,
-        and upserted in one rewrite of the partitions concerned.
+        and upserted in one rewrite of the partitions concerned. Without ``apply`` the rows are staged only, for ``resume`` to apply.
         """
         if spec.date_trunc is None:
-            return self.load_full(spec, source, columns)
+            return self.load_full(spec, source, columns, apply)
         if spec.partitioning_field is None:
             raise ValueError("an incremental load needs a partitioning field")
         periods = load_periods(*resolve_interval(start, end, interval), spec.date_trunc, anchor)
         launches = name_launches(periods, self.new_id)
-        found, staging, snapshot = self._prepare(spec, source, columns)
-        if not launches:
-            return LoadResult({}, [])
-        log_launches(self.spark, self.layers, list(launches.values()))
-        batch = extract_periods(source, launches, spec.partitioning_field, spec.date_trunc, found)
-        staging.append(batch, found, len(launches), spec.clustering_field)
-        staged = staging.read(list(launches.values()))
-        latest = latest_launches(staged, launches, spec.key)
-        rewritten = snapshot.upsert(latest, next(reversed(launches.values())), staged)
-        return LoadResult(dict(launches), rewritten)
+        return self._begin(spec, source, launches, columns, apply)
 
     def load_full(
-        self, spec: LoadSpec, source: DataFrame, columns: Sequence[SourceColumn] | None = None
+        self, spec: LoadSpec, source: DataFrame, columns: Sequence[SourceColumn] | None = None, apply: bool = True
     ) -> LoadResult:
         """One batch of the whole table under one launch id."""
         launch_id = self.new_id(None) if self.new_id else new_launch_id()
+        return self._begin(spec, source, {None: launch_id}, columns, apply)
+
+    def _begin(
+        self,
+        spec: LoadSpec,
+        source: DataFrame,
+        launches: dict[date | None, str],
+        columns: Sequence[SourceColumn] | None,
+        apply: bool,
+    ) -> LoadResult:
         found, staging, snapshot = self._prepare(spec, source, columns)
-        log_launches(self.spark, self.layers, [launch_id])
-        staging.append(extract(source, launch_id, found), found, 1, spec.clustering_field)
-        return LoadResult({None: launch_id}, snapshot.upsert(staging.read([launch_id]), launch_id))
+        if not launches:
+            return LoadResult({}, [])
+        for left in self.journal.unfinished(spec.target_table):
+            # What is staged comes first, as it is older; of what isn't, nothing can be told from the new source.
+            if left.state == STAGED:
+                self._apply(spec, left, staging, snapshot)
+            else:
+                staging.clear(list(left.launches.values()))
+                self.journal.note(left, DROPPED)
+        load = self.journal.note(Load(new_launch_id(), spec.target_table, launches, NAMED), NAMED)
+        log_launches(self.spark, self.layers, list(launches.values()))
+        load = self._stage(spec, load, source, found, staging)
+        return self._apply(spec, load, staging, snapshot) if apply else LoadResult(dict(launches), [])
+
+    def _stage(
+        self, spec: LoadSpec, load: Load, source: DataFrame, found: list[SourceColumn], staging: StagingTable
+    ) -> Load:
+        if list(load.launches) == [None]:
+            batch = extract(source, load.launches[None], found)
+        else:
+            batch = extract_periods(source, load.launches, spec.partitioning_field, spec.date_trunc, found)
+        staging.append(batch, found, len(load.launches), spec.clustering_field)
+        return self.journal.note(load, STAGED)
+
+    def _apply(self, spec: LoadSpec, load: Load, staging: StagingTable, snapshot: SnapshotTable) -> LoadResult:
+        staged = staging.read(list(load.launches.values()))
+        latest = latest_launches(staged, load.launches, spec.key)
+        rewritten = snapshot.upsert(latest, load.load_id, staged)
+        self.journal.note(load, APPLIED)
+        return LoadResult(dict(load.launches), rewritten)
+
+    def resume(
+        self, spec: LoadSpec, source: DataFrame | None = None, columns: Sequence[SourceColumn] | None = None
+    ) -> list[LoadResult]:
+        """Carry on the loads of a spec that were cut off, in the order they began, under the launches they had.
+
+        Loads that are staged need no source. For one that isn't, whatever it left in staging is taken out and staged
+        anew from ``source``. A change that the snapshot shows already is not made twice.
+        """
+        results = []
+        for load in self.journal.unfinished(spec.target_table):
+            if load.state == STAGED:
+                staging, snapshot = self._tables(spec)
+            elif source is None:
+                raise ValueError(f"load {load.load_id} of {spec.target_table} was cut off before it was staged: a source is needed")
+            else:
+                found, staging, snapshot = self._prepare(spec, source, columns)
+                staging.clear(list(load.launches.values()))
+                self._log_missing(load)
+                load = self._stage(spec, load, source, found, staging)
+            results.append(self._apply(spec, load, staging, snapshot))
+        return results
+
+    def _log_missing(self, load: Load) -> None:
+        ids = list(load.launches.values())
+        name = f"{self.layers.log}.launch_log"
+        logged: set[str] = set()
+        if self.spark.catalog.tableExists(name):
+            logged = {r[0] for r in self.spark.table(name).where(F.col(LAUNCH_ID).isin(ids)).select(LAUNCH_ID).collect()}
+        if len(logged) < len(ids):
+            log_launches(self.spark, self.layers, [i for i in ids if i not in logged])

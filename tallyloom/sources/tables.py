@@ -1,4 +1,4 @@
-"""Tables of the staging, snapshot, analytics and log layers.
+"""Tables of the staging, analytics and log layers, and what snapshots share with them.
 
 All are external parquet tables in the session catalogue. A table or partition is rewritten by writing
 new files next to the old ones and then pointing the catalogue at them: a job that fails leaves the
@@ -19,11 +19,8 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.functions import period_day
 from tallyloom.operators.conform import LAUNCH_COLUMN, LAUNCH_ID, SourceColumn, spark_type
 from tallyloom.operators.quality import enforce
-from tallyloom.operators.skew import heavy_keys, skew_join
-from tallyloom.operators.upsert import upsert
 
 log = logging.getLogger(__name__)
 
@@ -101,6 +98,39 @@ def fit_columns(
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ddl})")
 
 
+def file_system(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """Hadoop's file system and path object of a path."""
+    sc = spark.sparkContext
+    found = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(sc._jsc.hadoopConfiguration()), found
+
+
+def folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Name and time of change of the folders below a path."""
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        return []
+    return sorted((s.getPath().getName(), s.getModificationTime() / 1000) for s in fs.listStatus(at) if s.isDirectory())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, at = file_system(spark, path)
+    fs.delete(at, True)
+
+
+def write_lines(spark: SparkSession, path: str, lines: Sequence[str]) -> None:
+    """A small text file, without a job."""
+    fs, at = file_system(spark, path)
+    out = fs.create(at, True)
+    out.write("".join(f"{line}\n" for line in lines).encode())
+    out.close()
+
+
+def location_of(spark: SparkSession, table: str, partition: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").where("col_name = 'Location'").collect()
+    return rows[-1]["data_type"]
+
+
 def new_launch_id() -> str:
     return str(uuid.uuid1())
 
@@ -134,8 +164,9 @@ def create_table(
     name: str,
     ddl: str,
     location: str,
-    partition_by: str | None = None,
+    partition_by: str | Sequence[str] | None = None,
     if_exists: str | None = None,
+    using: str = "parquet",
 ) -> None:
     """Create an external table. A conflict is an error unless ``if_exists`` is ``KEEP`` or ``REPLACE``."""
     if if_exists not in (None, "KEEP", "REPLACE"):
@@ -144,8 +175,9 @@ def create_table(
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         location = f"{location}/v={uuid.uuid4().hex}"
     guard = "IF NOT EXISTS " if if_exists == "KEEP" else ""
-    partitioned = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
-    spark.sql(f"CREATE TABLE {guard}{name} ({ddl}) USING parquet{partitioned} LOCATION '{location}'")
+    by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    partitioned = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""
+    spark.sql(f"CREATE TABLE {guard}{name} ({ddl}) USING {using}{partitioned} LOCATION '{location}'")
 
 
 @dataclass(frozen=True)
@@ -191,114 +223,19 @@ class StagingTable:
         rows = rows.sortWithinPartitions(LAUNCH_ID, *([cluster_by] if cluster_by else []))
         rows.select(*self.spark.table(self.name).columns).write.insertInto(self.name)
 
+    def clear(self, launch_ids: Sequence[str]) -> None:
+        """Take out what a load that was cut off left of its launches, rows and files."""
+        for launch in launch_ids:
+            spec = f"PARTITION (`{LAUNCH_ID}` = '{launch}')"
+            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {spec}")
+            # Files may lie there without the catalogue knowing of them.
+            remove(self.spark, f"{self.layers.location(self.layers.staging, self.table)}/{LAUNCH_ID}={launch}")
+
     def read(self, launch_ids: Sequence[str]) -> DataFrame:
         """The rows of some launches; other partitions are not read."""
         return self.spark.table(self.name).where(F.col(LAUNCH_ID).isin(list(launch_ids)))
 
 
-@dataclass(frozen=True)
-class SnapshotTable:
-    """Latest version of every row, partitioned by day (or a longer ``unit``) and sorted by key within it.
-
-    An upsert rewrites only the partitions that lose or gain rows.
-    """
-
-    spark: SparkSession
-    layers: Layers
-    table: str
-    field: str | None = None
-    key: str = "id"
-    unit: str = "day"
-    cluster_by: str | None = None
-
-    @property
-    def name(self) -> str:
-        return f"{self.layers.snapshot}.{self.table}"
-
-    def create(self, columns: Sequence[SourceColumn]) -> None:
-        ddl = ", ".join(f"`{c.name}` {spark_type(self.spark, c).upper()}" for c in [*columns, LAUNCH_COLUMN])
-        create_table(
-            self.spark,
-            self.name,
-            f"{ddl}, `{PART}` STRING",
-            self.layers.location(self.layers.snapshot, self.table),
-            partition_by=PART,
-            if_exists="KEEP",
-        )
-
-    def check(self, columns: Sequence[SourceColumn], on_new_columns: str = "error") -> None:
-        check_new(self.spark, self.name, columns, (PART, LAUNCH_ID), on_new_columns)
-
-    def fit(self, columns: Sequence[SourceColumn], on_new_columns: str = "error") -> None:
-        fit_columns(self.spark, self.name, columns, (PART, LAUNCH_ID), on_new_columns)
-
-    def read(self) -> DataFrame:
-        return self.spark.table(self.name).drop(PART)
-
-    def _with_part(self, df: DataFrame) -> DataFrame:
-        if self.field is None:
-            return df.withColumn(PART, F.lit(NO_DATE))
-        return df.withColumn(PART, F.coalesce(period_day(F.col(self.field), self.unit).cast("string"), F.lit(NO_DATE)))
-
-    def upsert(self, batch: DataFrame, version: str, staged: DataFrame | None = None) -> list[str]:
-        """Replace the rows of all keys in ``batch``; returns the partitions that were rewritten.
-
-        ``batch`` should come from a table that has been written (staged launches): it is read more than
-        once. ``staged`` are the rows it was picked from, with the same keys.
-        Finding the partitions reads only the key of the snapshot. Their names are all the driver gets,
-        at most one short string per calendar day.
-        """
-        current = self.spark.table(self.name)
-        batch = self._with_part(batch)
-        types = lambda df: sorted((f.name, f.dataType.simpleString()) for f in df.schema)
-        if types(batch) != types(current):
-            odd = ", ".join(f"{n} {t}" for n, t in sorted(set(types(batch)) ^ set(types(current))))
-            raise SchemaDrift(f"{self.name}: batch and table differ in {odd}")
-        batch = batch.select(*current.columns)
-        known = {r[0].split("=", 1)[1] for r in self.spark.sql(f"SHOW PARTITIONS {self.name}").collect()}
-        changes = batch.select(PART, F.lit(True).alias("gains"))
-        heavy: list[Any] = []
-        if known:
-            heavy = heavy_keys(current, self.key)
-            keys = (batch if staged is None else staged).select(self.key).distinct()
-            losing = skew_join(current.select(self.key, PART), keys, self.key, heavy, how="left_semi")
-            changes = changes.unionByName(losing.select(PART, F.lit(False).alias("gains")))
-        gains = {part: gaining for part, gaining in changes.groupBy(PART).agg(F.max("gains")).collect()}
-        if not gains:
-            return []
-        merged = batch
-        if known:
-            merged = upsert(current.where(F.col(PART).isin(sorted(gains))), batch, self.key, heavy, staged)
-        path = f"{self.layers.location(self.layers.snapshot, self.table)}/v={version}"
-        (
-            merged.hint("rebalance", PART)
-            .sortWithinPartitions(PART, self.cluster_by or self.key)
-            .write.mode("errorifexists")
-            .partitionBy(PART)
-            .parquet(path)
-        )
-        self._point_at(path, gains, known)
-        return sorted(gains)
-
-    def _point_at(self, path: str, gains: dict[str, bool], known: set[str]) -> None:
-        filled = {part for part, gaining in gains.items() if gaining}
-        if len(filled) < len(gains):
-            # Partitions that only lost rows may have none left. Reads no column of the new files.
-            left = self.spark.read.schema(f"{PART} string").parquet(path).where(~F.col(PART).isin(sorted(filled)))
-            filled |= {r[PART] for r in left.select(PART).distinct().collect()}
-        for part in sorted(filled & known):
-            where = f"PARTITION ({PART} = '{part}')"
-            self.spark.sql(f"ALTER TABLE {self.name} {where} SET LOCATION '{path}/{PART}={part}'")
-        added = [f"PARTITION ({PART} = '{p}') LOCATION '{path}/{PART}={p}'" for p in sorted(filled - known)]
-        emptied = [f"PARTITION ({PART} = '{p}')" for p in sorted(gains.keys() - filled)]
-        for n in range(0, len(added), PARTITIONS_PER_STATEMENT):
-            some = " ".join(added[n : n + PARTITIONS_PER_STATEMENT])
-            self.spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS {some}")
-        for n in range(0, len(emptied), PARTITIONS_PER_STATEMENT):
-            some = ", ".join(emptied[n : n + PARTITIONS_PER_STATEMENT])
-            self.spark.sql(f"ALTER TABLE {self.name} DROP IF EXISTS {some}")
-
-
 def repoint(spark: SparkSession, name: str, path: str) -> None:
     """Let an unpartitioned table show the files at ``path``, creating it if need be.
 

@@ -20,7 +20,7 @@ from tallyloom.operators import upsert as upsert_module
 from tallyloom.operators.conform import SourceColumn, measure, source_columns
 from tallyloom.operators.upsert import latest_launches, upsert
 from tallyloom.plans import load
-from tallyloom.sources import delimited, jdbc, tables
+from tallyloom.sources import delimited, jdbc, snapshot, tables
 
 SCHEMA = "id bigint, name string, created_at timestamp_ntz, updated_at timestamp_ntz"
 SPEC = load.LoadSpec("public.things", "things", None, "created_at", "id", "day")
@@ -232,6 +232,34 @@ def test_completeness(spark):
     )
 
 
+def test_content(spark):
+    schema = "ts timestamp_ntz, a string, b double"
+    day = lambda d: datetime(2024, 1, d, 5)
+    source = [(day(1), "x", 1.0), (day(1), "x", 1.0), (day(1), "y", None), (day(2), "a", None), (day(3), None, 2.0), (None, "n", 1.0)]
+    cases = {
+        "copies": [(day(1), "x", 1.0), (day(1), "y", None), (day(1), "y", None), *source[3:]],
+        "cell": [*source[:3], (day(1) + timedelta(days=1), "A", None), *source[4:]],
+        "null": [*source[:4], (day(3), "", 2.0), source[5]],
+        "no date": [*source[:5], (None, "n", 1.5)],
+        "order": source[::-1],
+    }
+    differing = {"copies": {date(2024, 1, 1)}, "cell": {date(2024, 1, 2)}, "null": {date(2024, 1, 3)}, "no date": {None}, "order": set()}
+    left = spark.createDataFrame(source, schema)
+    for name, rows in cases.items():
+        right = spark.createDataFrame(rows, schema).withColumn("launch_id", F.lit("L"))
+        found = quality.same_content(left, right, "ts").collect()
+        assert {r["period"] for r in found if not r["same"]} == differing[name]
+        assert all(r["complete"] for r in found) and len(found) == 4
+        apart = {(r["ts"], r["a"], r["b"]): r["in_source"] - r["in_target"] for r in quality.differences(left, right, "ts").collect()}
+        plain = Counter(source)
+        plain.subtract(Counter(rows))
+        assert apart == {k: v for k, v in plain.items() if v}
+    missing = quality.same_content(left, left.where("a <> 'a'"), "ts").where("not same").collect()
+    assert {r["period"]: (r["source_rows"], r["target_rows"]) for r in missing} == {date(2024, 1, 2): (1, 0), date(2024, 1, 3): (1, 0)}
+    with pytest.raises(ValueError, match="differ in"):
+        quality.same_content(left, left.withColumn("b", F.lit(1)), "ts")
+
+
 @pytest.fixture
 def layers(spark, tmp_path):
     tag = uuid.uuid4().hex[:8]
@@ -246,7 +274,7 @@ def snapshot_of(spark, layers, table="things"):
 @pytest.mark.parametrize("least", [skew.MIN_HEAVY_ROWS, 1])
 def test_daily_loads_equal_one_long_load(spark, tmp_path, monkeypatch, least):
     """Also with a key and missing keys that count as heavy: a third of the rows each."""
-    for module in (tables, upsert_module):
+    for module in (snapshot, upsert_module):
         monkeypatch.setattr(module, "heavy_keys", lambda df, *keys: skew.heavy_keys(df, *keys, min_rows=least))
     rng = random.Random(9)
     rows = make_rows(rng, 80, [*range(10), *[3] * 10, *[None] * 10])
@@ -280,8 +308,8 @@ def test_reload_and_moved_rows(spark, layers):
     assert result.rewritten == ["2024-01-01", "2024-01-03"]
     after = snapshot_of(spark, layers)
     assert bag(after, "id", "name") == Counter([(1, "z"), (2, "b"), (None, "n")])
-    days = {r[0] for r in spark.sql(f"SHOW PARTITIONS {layers.snapshot}.things").collect()}
-    assert days == {f"{tables.PART}={d}" for d in ("2024-01-02", "2024-01-03", tables.NO_DATE)}
+    days = {r["part"] for r in spark.table(f"{layers.snapshot}.things__manifest").collect()}
+    assert days == {"2024-01-02", "2024-01-03", tables.NO_DATE}
     loader.load(spec, spark.createDataFrame(moved, SCHEMA))
     assert bag(snapshot_of(spark, layers), "id", "name") == Counter([(1, "z"), (2, "b"), (None, "n")])
     assert spark.table(f"{layers.staging}.things").count() == 5

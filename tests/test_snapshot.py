@@ -1,0 +1,190 @@
+"""Snapshots: one switch per change, the index of keys, and removal."""
+
+import os
+import random
+import shutil
+import uuid
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.operators.conform import source_columns
+from tallyloom.sources import snapshot as snap
+from tallyloom.sources import tables
+
+SCHEMA = "id bigint, name string, created_at timestamp_ntz, launch_id string"
+
+
+def day(n):
+    return datetime(2024, 1, 1) + timedelta(days=n)
+
+
+@pytest.fixture
+def made(spark, tmp_path):
+    """Makes snapshots in layers of this test alone."""
+
+    def make(schema=SCHEMA, key="id", field="created_at"):
+        tag = uuid.uuid4().hex[:8]
+        names = {n: f"{n}_{tag}" for n in ("staging", "snapshot", "analytics", "log")}
+        layers = tables.Layers(str(tmp_path / tag), **names).create(spark)
+        table = snap.SnapshotTable(spark, layers, "things", field, key)
+        table.create([c for c in source_columns(spark.createDataFrame([], schema)) if c.name != "launch_id"])
+        return table
+
+    return make
+
+
+def rows_of(table):
+    return Counter(tuple(r) for r in table.read().select("id", "name", "created_at").collect())
+
+
+def batch(spark, rows, launch="L", schema=SCHEMA):
+    return spark.createDataFrame([(*r, launch) for r in rows], schema)
+
+
+def test_a_reader_sees_all_old_or_all_new_rows(spark, made, monkeypatch):
+    """The snapshot is read before every statement and write of an upsert that adds, changes and empties days."""
+    table = made()
+    old = [(i, "old", day(i % 5)) for i in range(50)] + [(100, "alone", day(9))]
+    table.upsert(batch(spark, old), "v1")
+    new = [(i, "new", day(7)) for i in range(10)] + [(100, "moved", day(8)), (200, "added", day(1))]
+    before = rows_of(table)
+    expected = Counter([r for r in old if r[0] not in range(10) and r[0] != 100] + new)
+    seen, inside = [], []
+    plain = type(spark).sql
+
+    def watched(self, text, *a, **k):
+        if not inside:
+            inside.append(1)
+            if "TABLE EXTENDED" not in text:
+                seen.append((text.split("__")[0], rows_of(table)))
+            inside.clear()
+        return plain(self, text, *a, **k)
+
+    index = snap.SnapshotTable._index
+    monkeypatch.setattr(snap.SnapshotTable, "_index", lambda self, *a: seen.append(("index", rows_of(self))) or index(self, *a))
+    monkeypatch.setattr(type(spark), "sql", watched)
+    lazy = table.read().select("id", "name", "created_at")
+    table.upsert(batch(spark, new), "v2")
+    monkeypatch.undo()
+    assert rows_of(table) == expected
+    assert len(seen) >= 4 and all(rows == before for _, rows in seen)
+    # One statement makes the difference, however many days there are.
+    assert Counter(tuple(r) for r in lazy.collect()) in (before, expected)
+    assert table.state() == (2, "v2")
+
+
+def test_only_days_that_may_hold_a_key_are_opened(spark, made):
+    table = made()
+    table.upsert(batch(spark, [(1000 * d + i, "old", day(d)) for d in range(20) for i in range(100)]), "v1")
+    keys = spark.createDataFrame([(3005,), (12_050,), (900_000,), (None,)], "id bigint")
+    assert table.possible(keys) == ["2024-01-04", "2024-01-13"]
+    # The files of the other days are not needed to find that out, nor to apply the change.
+    for d in range(20):
+        if d not in (3, 12):
+            shutil.rmtree(f"{table.root}/files/_version=v1/_part={day(d):%Y-%m-%d}")
+    change = [(3005, "new", day(3)), (12_050, "new", day(12)), (12_051, "new", day(30))]
+    assert table.upsert(batch(spark, change), "v2") == ["2024-01-04", "2024-01-13", "2024-01-31"]
+    left = table.read().where("created_at >= '2024-01-13' and created_at < '2024-01-14' or name = 'new'")
+    assert left.where("name = 'new'").count() == 3
+    assert left.where("name = 'old'").count() == 98
+
+
+def test_partitions_are_pruned_by_the_manifest(spark, made):
+    table = made()
+    for v in range(3):
+        table.upsert(batch(spark, [(i, f"v{v}", day(i)) for i in range(v, 4)]), f"v{v}")
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert rows_of(table) == Counter((i, f"v{min(i, 2)}", day(i)) for i in range(4))
+
+
+@pytest.mark.parametrize("kind, slots", [("bigint", snap.SLOTS), ("string", 2)])
+def test_days_opened_in_vain_change_nothing(spark, made, monkeypatch, kind, slots):
+    """Random changes against a plain dictionary, also with an index of so few slots that every day looks possible."""
+    schema = f"id {kind}, name string, created_at timestamp_ntz, launch_id string"
+    monkeypatch.setattr(snap, "SLOTS", slots)
+    rng, table, state = random.Random(3), made(schema), {}
+    for v in range(4):
+        ids = rng.sample(range(-40, 400), 60)
+        rows = [(i if kind == "bigint" else f"k{i}", f"{v}", day(rng.randrange(6)) if rng.random() < 0.9 else None) for i in ids]
+        table.upsert(batch(spark, rows, schema=schema), f"v{v}")
+        state |= {r[0]: r for r in rows}
+    assert rows_of(table) == Counter(state.values())
+    assert set(table.manifest()) == {f"{r[2]:%Y-%m-%d}" if r[2] else tables.NO_DATE for r in state.values()}
+
+
+def test_rows_without_a_key_stay(spark, made):
+    table = made()
+    table.upsert(batch(spark, [(None, "a", day(1)), (1, "b", day(1))]), "v1")
+    table.upsert(batch(spark, [(None, "c", day(1)), (1, "d", day(2))]), "v2")
+    assert rows_of(table) == Counter([(None, "a", day(1)), (None, "c", day(1)), (1, "d", day(2))])
+
+
+def test_a_change_is_applied_once(spark, made):
+    table = made()
+    table.upsert(batch(spark, [(1, "a", day(1)), (None, "n", day(2))]), "v1")
+    again = table.upsert(batch(spark, [(1, "a", day(1)), (None, "n", day(2))]), "v1")
+    assert again == ["2024-01-02", "2024-01-03"] and sum(rows_of(table).values()) == 2
+
+
+@pytest.mark.parametrize("step", ["_index", "_register", "_switch"])
+def test_a_change_that_fails_can_be_done_again(spark, made, monkeypatch, step):
+    table = made()
+    table.upsert(batch(spark, [(1, "a", day(1)), (2, "b", day(2))]), "v1")
+    change = batch(spark, [(2, "c", day(1)), (3, "d", day(3)), (None, "n", day(3))])
+    with monkeypatch.context() as m:
+        m.setattr(snap.SnapshotTable, step, lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            table.upsert(change, "v2")
+    assert rows_of(table) == Counter([(1, "a", day(1)), (2, "b", day(2))])
+    table.upsert(change, "v2")
+    assert rows_of(table) == Counter([(1, "a", day(1)), (2, "c", day(1)), (3, "d", day(3)), (None, "n", day(3))])
+
+
+def files_below(path):
+    return {os.path.relpath(os.path.join(d, f), path) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_vacuum_keeps_what_can_be_reached(spark, made):
+    table = made()
+    for v in range(3):
+        table.upsert(batch(spark, [(i, f"v{v}", day(i)) for i in range(v, 6)]), f"v{v}")
+    os.makedirs(f"{table.root}/files/_version=lost/_part=2024-01-01")
+    before, rows = files_below(table.root), rows_of(table)
+    reader = table.read().select("id", "name", "created_at")
+    table.upsert(batch(spark, [(5, "last", day(5))]), "v4")
+    assert table.vacuum(keep=2) and not table.vacuum(keep=2)
+    # The former state can still be read, by a query that began before the switch.
+    assert Counter(tuple(r) for r in reader.collect()) == rows
+    after = files_below(table.root)
+    assert os.path.exists(f"{table.root}/files/_version=lost")
+    gone = before - after
+    assert gone and not any("v4" in g for g in gone)
+    live = {(v, p) for p, v in table.manifest().items()}
+    assert all(any(f"_version={v}/_part={p}/" in f for f in after) for v, p in live)
+    table.vacuum(keep=1, min_age=timedelta(0))
+    assert not os.path.exists(f"{table.root}/files/_version=lost")
+    kept = {tuple(f.split("/")[1:3]) for f in files_below(table.root) if f.startswith("files/")}
+    assert kept == {(f"_version={v}", f"_part={p}") for v, p in live}
+    assert rows_of(table) == Counter({(i, f"v{min(i, 2)}", day(i)): 1 for i in range(5)} | {(5, "last", day(5)): 1})
+    listed = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table.part_of('files')}").collect()}
+    assert listed == {"/".join(k) for k in kept}
+    with pytest.raises(ValueError):
+        table.vacuum(keep=0)
+
+
+def test_vacuum_of_a_materialised_table(spark, made):
+    layers = made().layers
+    for n in range(4):
+        tables.materialise(spark, layers, "mart", spark.range(n))
+    assert snap.vacuum_materialised(spark, layers, "mart") == []
+    assert len(snap.vacuum_materialised(spark, layers, "mart", keep=2, min_age=timedelta(0))) == 2
+    assert spark.table(f"{layers.analytics}.mart").count() == 3
+
+
+def test_the_index_of_a_day_is_bounded(spark):
+    keys = spark.range(200_000).select((F.col("id") * 1_000_003).alias("id"))
+    assert snap.key_bitmaps(keys, "id").count() <= snap.SLOTS // 32768 + 1
