@@ -1,6 +1,9 @@
 """Every registered query against the same question in SQL."""
 
 import math
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -50,3 +53,15 @@ def test_query_in_another_time_zone(spark, duck, sample_dir, name):
         check(spark, duck, sample_dir, name)
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("missing", ["corpus_pipeline", "tallyloom.llm", "public_tokenizers", "xxhash"])
+def test_the_entry_works_without_the_training_data_operators(missing):
+    """Also where only a package that they need is not there."""
+    block = (
+        "import sys, warnings; warnings.simplefilter('ignore'); "
+        f"sys.modules[{missing!r}] = None; "
+        "import __spark_entry__ as e; from checks.queries import QUERIES; "
+        "assert set(QUERIES) <= set(e.queries()) and set(QUERIES) <= set(e.oracle_sql())"
+    )
+    subprocess.run([sys.executable, "-c", block], cwd=Path(__file__).parents[1], check=True, timeout=100)
