@@ -2,7 +2,7 @@
 
 Messages have (conv_id, turn, role, text). An assistant's text may be a JSON object with ``tool_calls``, a list of (id, name, arguments,
 after), where ``after`` names the call whose result this one needs; a tool's text is one with ``tool_call_id`` and ``content``. All
-other messages are plain.
+other messages are plain. Texts are parsed once, and what is parsed is kept.
 
 * Calls and results are joined by conversation and identifier.
 * The level of a call is the number of calls it depends on, one after the other, found by pointer doubling: every round
@@ -11,13 +11,18 @@ other messages are plain.
 * Arguments are validated against the tool's schema: required arguments, their types, none that is not in the schema.
 * What comes out is canonical JSON: keys in order, no white space, null fields left out.
 
+Nothing that is said is lost: content and further fields beside an assistant's calls come out as a ``message`` of their own, those of a
+result as ``more`` with it. A ``role`` among them is called ``text_role``.
+
 Work that needs a conversation's calls in order runs over blocks of turns, so a conversation may hold any share of the rows.
 
-Defined cases: a null or empty text is a plain message with that content. Of several calls with one identifier the first (by turn, then
-text) counts, ``copies`` says how many there were, and so for results. A call without a result has none in its JSON. A
+Defined cases: a null or empty text is a plain message with that content. Of several calls with one identifier the first (by turn, row and
+place) is linked, ``copies`` says how many there are; each of the others is a ``call`` with the error ``repeated id``, without result or
+position. A call without identifier is one of its own, with the error ``no id``; it can depend on others. The first result of a call is
+linked; each further one is a ``result`` with the error ``repeated result``. A call without a result has none in its JSON. Every
 result without a call is an ``orphan``. Dependencies on unknown calls are ignored; calls in or behind a cycle have level and position
-null and the error ``cycle``. A null conversation is one of its own; null identifiers and names are an error of the call. An empty table
-gives an empty result.
+null and the error ``cycle``. A null conversation is one of its own; a null name is an error of the call. Equal rows are rows of their own.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -112,48 +117,95 @@ def positions(ordered: DataFrame) -> DataFrame:
     )
 
 
+def beside(parsed: Column, *known: str, role: Column | None = None) -> Column:
+    """Canonical JSON fields of an object that are not ``known``, comma-joined, with the ``role`` among them; null if there are none."""
+    fields = F.map_filter(
+        F.try_variant_get(parsed, "$", "map<string,variant>"),
+        lambda k, v: ~k.isin(*known) & v.isNotNull() & (F.schema_of_variant(v) != "VOID"),
+    )
+    named = lambda k: F.when(k == "role", F.lit("text_role")).otherwise(k)
+    each = F.transform(
+        F.map_keys(fields), lambda k: F.struct(named(k).alias("k"), F.concat(quoted(named(k)), F.lit(":"), F.to_json(F.element_at(fields, k))).alias("j"))
+    )
+    if role is not None:
+        each = F.concat(each, F.array(F.struct(F.lit("role").alias("k"), F.concat(F.lit('"role":'), quoted(role)).alias("j"))))
+    return F.when(F.size(fields) > 0, F.array_join(F.array_sort(each)["j"], ","))
+
+
 def link(messages: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
-    """(conv_id, turn, kind, call_id, level, position, copies, error, json): one row per call, orphan result and plain message."""
-    rows = messages.select(
-        F.col("conv_id").alias("conv"), "turn", "role", "text",
-        F.when(F.col("role") == "assistant", F.from_json("text", CALLS)["tool_calls"]).alias("calls"),
-        F.when(F.col("role") == "tool", F.from_json("text", RESULT)).alias("result"),
+    """(conv_id, turn, kind, call_id, level, position, copies, error, json): one row per call, further or orphan result, and message."""
+    is_assistant, is_tool = F.col("role") == "assistant", F.col("role") == "tool"
+    given = F.when(is_assistant | is_tool, F.try_parse_json(F.col("text")))
+    whole = messages.select(
+        F.col("conv_id").alias("conv"), "turn", "role", "text", given.alias("given"),
+        F.when(is_assistant, F.from_json("text", CALLS)["tool_calls"]).alias("calls"),
+        F.when(is_tool, F.from_json("text", RESULT)).alias("result"),
     )
     is_call = F.coalesce(F.size("calls") > 0, F.lit(False))
     is_result = F.coalesce(F.col("result")["tool_call_id"].isNotNull(), F.lit(False))
-    exploded = rows.where(is_call).select("conv", "turn", F.inline("calls"))
-    first = lambda *c: F.min(F.struct(*c))
-    calls = (
-        exploded.groupBy("conv", "id")
-        .agg(first("turn", "name", "arguments", "after").alias("c"), F.count(F.lit(1)).alias("copies"))
-        .select("conv", "id", "copies", "c.*")
-    )
-    results = (
-        rows.where(is_result)
-        .groupBy("conv", F.col("result")["tool_call_id"].alias("id"))
-        .agg(first("turn", F.col("result")["content"].alias("content")).alias("r"), F.count(F.lit(1)).alias("replies"))
-        .select(F.col("conv").alias("rconv"), F.col("id").alias("rid"), F.col("r.turn").alias("rturn"), "r.content", "replies")
-    )
-    # Order is worked out on identifiers alone; texts move once, to meet their results.
-    slim = keep(
-        exploded.groupBy("conv", "id").agg(F.min(F.struct("turn", "name", "arguments", "after")).alias("c")).select(
-            "conv", "id", "c.turn", "c.after"
+    rows = keep(
+        whole.withColumns({"is_call": is_call, "is_result": is_result}).select(
+            "conv", "turn", "role", "calls", "result", "is_call", "is_result", F.monotonically_increasing_id().alias("n"),
+            F.when(~is_call & ~is_result, F.col("text")).alias("text"),
+            F.when(is_call, beside(F.col("given"), "tool_calls", role=F.col("role"))).when(is_result, beside(F.col("given"), "tool_call_id", "content")).alias("more"),
+        ),
+        "messages",
+    )
+
+    # calls: the first of each identifier, and those without one, have a key and are linked
+    exploded = rows.where("is_call").select("conv", "turn", "n", F.posexplode("calls").alias("place", "call")).select("conv", "turn", "n", "place", "call.*")
+    firsts = exploded.where("id is not null").groupBy("conv", "id").agg(
+        F.min(F.struct("turn", "n", "place")).alias("f"), F.count(F.lit(1)).alias("copies")
+    )
+    known = firsts.select(F.col("conv").alias("fconv"), F.col("id").alias("fid"), F.col("f.n").alias("fn"), F.col("f.place").alias("fplace"), "copies")
+    met = exploded.join(known, F.expr("conv <=> fconv and id = fid"), "left")
+    is_first = F.coalesce((F.col("n") == F.col("fn")) & (F.col("place") == F.col("fplace")), F.col("id").isNull())
+    own = F.concat(F.lit("n"), F.col("n").cast("string"), F.lit("-"), F.col("place").cast("string"))
+    calls = keep(
+        met.select(
+            "conv", "turn", "id", "name", "arguments", "after",
+            F.when(is_first, F.coalesce(F.concat(F.lit("i"), F.col("id")), own)).alias("key"),
+            F.when(is_first, F.coalesce("copies", F.lit(1))).otherwise(1).cast("long").alias("copies"),
         ),
         "calls",
     )
+
+    # Order is worked out on keys alone; texts move once, to meet their results.
+    slim = calls.where("key is not null").select("conv", F.col("key").alias("id"), "turn", F.concat(F.lit("i"), F.col("after")).alias("after"))
     found = levels(slim)
     ordered = slim.alias("a").join(found.alias("b"), F.expr("a.conv <=> b.conv and a.id <=> b.id")).select("a.conv", "a.id", "a.turn", "b.level", "b.ready")
     placed = positions(ordered).select(F.col("conv").alias("pconv"), F.col("id").alias("pid"), "level", "position")
-    both = calls.join(results, F.expr("conv <=> rconv and id = rid"), "full")
-    joined = both.join(placed, F.expr("conv <=> pconv and id <=> pid and copies is not null"), "left")
+
+    # results: the first of each identifier is linked, if there is such a call
+    answers = rows.where("is_result").select(
+        F.col("conv").alias("rconv"), F.col("turn").alias("rturn"), F.col("n").alias("rn"), F.col("more").alias("rmore"),
+        F.col("result")["tool_call_id"].alias("rid"), F.col("result")["content"].alias("content"),
+    )
+    earliest = answers.groupBy("rconv", "rid").agg(F.min(F.struct("rturn", "rn")).alias("e"), F.count(F.lit(1)).alias("replies")).select(
+        F.col("rconv").alias("econv"), F.col("rid").alias("eid"), F.col("e.rn").alias("en"), "replies"
+    )
+    asked = firsts.select(F.col("conv").alias("aconv"), F.col("id").alias("aid"))
+    both = earliest.join(asked, F.expr("econv <=> aconv and eid = aid"), "left").withColumn("answers", F.col("aid").isNotNull()).drop("aconv", "aid")
+    results = answers.join(both, F.expr("rconv <=> econv and rid = eid"))
+    linked_results = results.where("answers and rn = en").select("rconv", "rid", "rturn", "content", "rmore")
+    other_results = results.where("not (answers and rn = en)")
+
+    joined = calls.join(linked_results, F.expr("key is not null and conv <=> rconv and id = rid"), "left").join(
+        placed, F.expr("conv <=> pconv and key = pid"), "left"
+    )
     parsed = F.try_parse_json(F.col("arguments"))
+    wrong = errors(F.col("name"), F.col("arguments"), parsed, schemas)
     fault = F.concat_ws(
         ",",
         F.when(F.col("id").isNull(), "no id"),
-        F.when(F.col("level").isNull(), "cycle"),
-        F.when(errors(F.col("name"), F.col("arguments"), parsed, schemas) != "", errors(F.col("name"), F.col("arguments"), parsed, schemas)),
+        F.when(F.col("key").isNull(), "repeated id").when(F.col("level").isNull(), "cycle"),
+        F.when(wrong != "", wrong),
+    )
+    content = F.concat(F.lit('"content":'), quoted(F.coalesce("content", F.lit(""))))
+    more = F.concat(F.lit('"more":{'), F.col("rmore"), F.lit("}"))
+    reply = F.concat(
+        F.lit('"result":{'), F.concat_ws(",", content, more, F.concat(F.lit('"turn":'), F.col("rturn").cast("string"))), F.lit("}")
     )
-    reply = F.concat(F.lit('"result":{"content":'), quoted(F.coalesce("content", F.lit(""))), F.lit(',"turn":'), F.col("rturn").cast("string"), F.lit("}"))
     fields = F.concat_ws(
         ",",
         F.concat(F.lit('"arguments":'), F.coalesce(F.to_json(parsed), quoted(F.col("arguments")))),
@@ -161,31 +213,30 @@ def link(messages: DataFrame, schemas: Mapping[str, Schema]) -> DataFrame:
         F.concat(F.lit('"name":'), quoted(F.col("name"))),
         F.when(F.col("rid").isNotNull(), reply),
     )
-    orphan = F.concat(F.lit('{"content":'), quoted(F.coalesce("content", F.lit(""))), F.lit(',"role":"tool","tool_call_id":'), quoted(F.col("rid")), F.lit("}"))
-    is_linked = F.col("copies").isNotNull()
     linked = joined.select(
-        F.when(is_linked, F.col("conv")).otherwise(F.col("rconv")).alias("conv_id"),
-        F.when(is_linked, F.col("turn")).otherwise(F.col("rturn")).alias("turn"),
-        F.when(is_linked, "call").otherwise("orphan").alias("kind"),
-        F.coalesce("id", "rid").alias("call_id"),
-        F.col("level").cast("long").alias("level"),
-        F.col("position").cast("long").alias("position"),
-        F.coalesce("copies", "replies").alias("copies"),
-        F.when(is_linked, fault).otherwise("").alias("error"),
-        F.when(is_linked, F.concat(F.lit("{"), fields, F.lit("}"))).otherwise(orphan).alias("json"),
-    )
-    content = F.concat_ws(
-        ",",
-        F.concat(F.lit('"content":'), quoted(F.col("text"))),
-        F.concat(F.lit('"role":'), quoted(F.col("role"))),
+        F.col("conv").alias("conv_id"), "turn", F.lit("call").alias("kind"), F.col("id").alias("call_id"),
+        F.col("level").cast("long").alias("level"), F.col("position").cast("long").alias("position"), "copies", fault.alias("error"),
+        F.concat(F.lit("{"), fields, F.lit("}")).alias("json"),
     )
     none = F.lit(None)
-    plain = rows.where(~is_call & ~is_result).select(
+    is_repeat = F.col("rn") != F.col("en")
+    rest = other_results.select(
+        F.col("rconv").alias("conv_id"), F.col("rturn").alias("turn"), F.when(F.col("answers"), "result").otherwise("orphan").alias("kind"),
+        F.col("rid").alias("call_id"), none.cast("long").alias("level"), none.cast("long").alias("position"),
+        F.when(is_repeat, 1).otherwise(F.col("replies")).cast("long").alias("copies"),
+        F.when(is_repeat, "repeated result").otherwise("").alias("error"),
+        F.concat(
+            F.lit("{"), F.concat_ws(",", content, more, F.lit('"role":"tool"'), F.concat(F.lit('"tool_call_id":'), quoted(F.col("rid")))), F.lit("}")
+        ).alias("json"),
+    )
+    role = F.concat(F.lit('"role":'), quoted(F.col("role")))
+    said = F.concat_ws(",", F.concat(F.lit('"content":'), quoted(F.col("text"))), role)
+    plain = rows.where("not is_result and (not is_call or more is not null)").select(
         F.col("conv").alias("conv_id"), "turn", F.lit("message").alias("kind"), none.cast("string").alias("call_id"),
         none.cast("long").alias("level"), none.cast("long").alias("position"), F.lit(1).cast("long").alias("copies"), F.lit("").alias("error"),
-        F.concat(F.lit("{"), content, F.lit("}")).alias("json"),
+        F.concat(F.lit("{"), F.when(F.col("is_call"), F.col("more")).otherwise(said), F.lit("}")).alias("json"),
     )
-    return linked.unionByName(plain)
+    return linked.unionByName(rest).unionByName(plain)
 
 
 #: The tool that stands for the other side of a chat, and its schema.
@@ -193,19 +244,25 @@ REPLY = {"reply": {"prompt": ("string", True), "turn": ("integer", True), "model
 
 
 def as_tool_traffic(conversations: DataFrame) -> DataFrame:
-    """Chats retold as tool traffic: a user's turn calls ``reply``, after the call two turns before; the turn that follows is the result."""
+    """Chats retold as tool traffic: a user's turn calls ``reply``, after the call two turns before; the turn that follows is the result.
+
+    Where three divides the turn, the call comes with content and a note; where five does, its turn is a text, against the schema.
+    """
     name = lambda turn: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
     turn = F.col("turn")
     call = F.struct(
         name(turn).alias("id"),
         F.lit("reply").alias("name"),
-        F.to_json(F.struct(F.col("text").alias("prompt"), turn.alias("turn"))).alias("arguments"),
+        F.when(turn % 5 == 0, F.to_json(F.struct(F.col("text").alias("prompt"), turn.cast("string").alias("turn"))))
+        .otherwise(F.to_json(F.struct(F.col("text").alias("prompt"), turn.alias("turn"))))
+        .alias("arguments"),
         F.when(turn >= 2, name(turn - 2)).alias("after"),
     )
     # Nested JSON text is put in as it is, so arguments are an object and not a string.
     head = F.to_json(F.struct(call.getField("after").alias("after"), call.getField("id").alias("id"), call.getField("name").alias("name")))
+    beside_calls = F.when(turn % 3 == 0, F.concat(F.lit('"note":{"z":1,"a":null},"content":'), quoted(F.col("text")), F.lit(",")))
     calls = F.concat(
-        F.lit('{"tool_calls":[{"arguments":'), call.getField("arguments"), F.lit(","), F.substring(head, F.lit(2), F.length(head)), F.lit("]}")
+        F.lit("{"), F.coalesce(beside_calls, F.lit("")), F.lit('"tool_calls":[{"arguments":'), call.getField("arguments"), F.lit(","), F.substring(head, F.lit(2), F.length(head)), F.lit("]}")
     )
     result = F.to_json(F.struct(F.col("text").alias("content"), name(turn - 1).alias("tool_call_id")))
     return conversations.select(
@@ -231,9 +288,9 @@ with called as (
 )
 select c.conv_id, c.turn, 'call' as kind, c.id as call_id, (span // 2)::bigint as level,
   (row_number() over (partition by c.conv_id order by c.turn) - 1)::bigint as position, 1::bigint as copies,
-  case when c.text is null then 'missing prompt' else '' end as error,
-  '{"arguments":{' || case when c.text is null then '' else '"prompt":' || to_json(c.text)::varchar || ',' end || '"turn":' || c.turn ||
-    '},"id":"' || c.id || '","name":"reply"' ||
+  concat_ws(',', case when c.text is null then 'missing prompt' end, case when c.turn % 5 = 0 then 'turn is no integer' end) as error,
+  '{"arguments":{' || case when c.text is null then '' else '"prompt":' || to_json(c.text)::varchar || ',' end || '"turn":' ||
+    case when c.turn % 5 = 0 then '"' || c.turn || '"' else c.turn::varchar end || '},"id":"' || c.id || '","name":"reply"' ||
     case when r.id is null then '' else ',"result":{"content":' || to_json(coalesce(r.text, ''))::varchar || ',"turn":' || r.turn || '}' end || '}' as json
 from called c join recursive_levels l using (conv_id, id) left join replied r on r.conv_id = c.conv_id and r.id = c.id
 union all
@@ -241,6 +298,10 @@ select r.conv_id, r.turn, 'orphan', r.id, null, null, 1, '',
   '{"content":' || to_json(coalesce(r.text, ''))::varchar || ',"role":"tool","tool_call_id":"' || r.id || '"}'
 from replied r where not exists (select 1 from called c where c.conv_id = r.conv_id and c.id = r.id)
 union all
+select conv_id, turn, 'message', null, null, null, 1, '',
+  '{"content":' || to_json(text)::varchar || ',"note":{"a":null,"z":1},"role":"assistant"}'
+from called where turn % 3 = 0 and text is not null
+union all
 select conv_id, turn, 'message', null, null, null, 1, '',
   '{' || case when text is null then '' else '"content":' || to_json(text)::varchar || ',' end || '"role":' || to_json(role)::varchar || '}'
 from conversations where role not in ('user', 'assistant')

@@ -25,6 +25,11 @@ def link(spark, rows):
     return {(r["conv_id"], r["kind"], r["call_id"], r["turn"]): r for r in chat.link(table, SCHEMAS).collect()}
 
 
+def listed(spark, rows, table=None):
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string") if table is None else table
+    return sorted((tuple(r) for r in chat.link(table, SCHEMAS).collect()), key=repr)
+
+
 def test_calls_meet_their_results(spark):
     found = link(
         spark,
@@ -48,7 +53,9 @@ def test_calls_meet_their_results(spark):
     assert found[1, "orphan", "lost", 5]["json"] == '{"content":"x","role":"tool","tool_call_id":"lost"}'
     assert json.loads(found[1, "message", None, 0]["json"]) == {"content": 'find é\n"it"', "role": "user"}
     assert found[2, "message", None, 3]["json"] == '{"role":"assistant"}'
-    assert found[2, "message", None, 4]["json"] == '{"content":"","role":"tool"}' and len(found) == 8
+    assert found[2, "message", None, 4]["json"] == '{"content":"","role":"tool"}' and len(found) == 9
+    later = found[1, "result", "b", 4]
+    assert later["error"] == "repeated result" and json.loads(later["json"]) == {"content": "later", "role": "tool", "tool_call_id": "b"}
 
 
 def test_order_is_topological(spark):
@@ -87,20 +94,62 @@ def test_arguments_are_validated(spark):
     assert found["tool"] == "unknown tool" and found["unnamed"] == "no name"
 
 
-def test_repeated_null_and_empty(spark):
+def test_repeated_calls_and_results_are_rows_of_their_own(spark):
     same = (1, 1, "assistant", calls(call("a")))
-    found = link(spark, [same, same, (1, 2, "assistant", calls(call("a", arguments='{"query":"later"}'))), (1, 3, "tool", result("a", "r")), (1, 3, "tool", result("a", "r"))])
-    (row,) = found.values()
-    assert row["copies"] == 3 and row["json"].count('"x"') == 1
+    later = (1, 2, "assistant", calls(call("a", arguments='{"query":"later"}')))
+    rows = listed(spark, [same, same, later, (1, 3, "tool", result("a", "r")), (1, 3, "tool", result("a", "s")), (1, 9, "tool", result("z", "1")), (1, 9, "tool", result("z", "2"))])
+    of_call = [r for r in rows if r[2] == "call"]
+    assert sorted((r[1], r[5], r[6], r[7]) for r in of_call if r[7] == "") == [(1, 0, 3, "")]
+    assert sorted((r[1], r[4], r[5], r[7]) for r in of_call if r[7]) == [(1, None, None, "repeated id"), (2, None, None, "repeated id")]
+    assert sum('"later"' in r[8] for r in of_call) == 1 and sum('"result"' in r[8] for r in of_call) == 1
+    said = [json.loads(r[8])["result"]["content"] for r in of_call if '"result"' in r[8]] + [json.loads(r[8])["content"] for r in rows if r[2] == "result"]
+    assert sorted(said) == ["r", "s"]
+    assert sorted((json.loads(r[8])["content"], r[6], r[7]) for r in rows if r[2] == "orphan") == [("1", 2, ""), ("2", 1, "repeated result")]
+
+
+def test_content_beside_calls_is_kept(spark):
+    text = '{"content":"Let me look that up.","tool_calls":[%s],"role":"x","b":[1,{"d":2,"c":null}],"a":null,"é\\"":true}' % call("a")
+    answer = '{"tool_call_id":"a","content":{"k":[1]},"took":3.5,"role":"y"}'
+    rows = listed(spark, [(1, 1, "assistant", text), (1, 2, "tool", answer), (1, 3, "assistant", calls(call("b")))])
+    assert sorted(r[2] for r in rows) == ["call", "call", "message"]
+    assert next(r[8] for r in rows if r[2] == "message") == '{"b":[1,{"c":null,"d":2}],"content":"Let me look that up.","role":"assistant","text_role":"x","é\\"":true}'
+    linked = next(json.loads(r[8]) for r in rows if r[3] == "a")
+    assert linked["result"] == {"content": '{"k":[1]}', "more": {"text_role": "y", "took": 3.5}, "turn": 2}
+
+
+def test_calls_without_id_are_calls_of_their_own(spark):
+    first = calls(call(None), call(None, arguments='{"query":"second"}'), call("a"), call(None, after="a", arguments='{"query":"third"}'))
+    rows = listed(spark, [(1, 1, "assistant", first), (1, 1, "assistant", first), (2, 1, "assistant", calls(call(None, arguments="[]")))])
+    nameless = [r for r in rows if r[3] is None]
+    assert len(nameless) == 7 and all("no id" in r[7] for r in nameless)
+    assert sorted(r[4] for r in nameless) == [0, 0, 0, 0, 0, 1, 1]
+    assert sum('"second"' in r[8] for r in rows) == 2 and sum('"third"' in r[8] for r in rows) == 2
+    places = sorted(r[5] for r in rows if r[0] == 1 and r[5] is not None)
+    assert places == list(range(7))
+
+
+def test_null_and_empty(spark):
     null = link(spark, [(None, 1, "assistant", calls(call("a"))), (None, 2, "tool", result("a", "r")), (None, None, None, None)])
     assert json.loads(null[None, "call", "a", 1]["json"])["result"]["content"] == "r"
     assert null[None, "message", None, None]["json"] == "{}"
-    nameless = link(spark, [(1, 1, "assistant", calls(call(None)))])
-    (row,) = nameless.values()
-    assert "no id" in row["error"]
     assert link(spark, []) == {}
 
 
+def test_very_long_texts_and_clashing_columns(spark):
+    long = "x y " * 300_000
+    rows = [(1, 1, "assistant", calls(call("a", arguments=json.dumps({"query": long})))), (1, 2, "tool", result("a", long)), (1, 3, "user", long)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    clashing = table.selectExpr("*", "1 as conv", "2 as n", "3 as id", "4 as place", "'z' as key", "5 as calls", "6 as result", "7 as more", "8 as is_call")
+    assert listed(spark, None, clashing) == listed(spark, rows)
+    assert len(listed(spark, rows)) == 2 and all(len(r[8]) > len(long) for r in listed(spark, rows))
+
+
+def test_a_hot_identifier(spark):
+    rows = [(1, i, "assistant", calls(call("a"))) for i in range(400)] + [(1, 1000 + i, "tool", result("a", str(i))) for i in range(400)]
+    found = listed(spark, rows)
+    assert len(found) == 799 and sum(r[7] == "repeated id" for r in found) == 399 == sum(r[7] == "repeated result" for r in found)
+
+
 def test_no_python_in_the_plan(spark):
     table = spark.createDataFrame([(1, 1, "user", "x")], "conv_id long, turn long, role string, text string")
     plan = chat.link(chat.as_tool_traffic(table), chat.REPLY)._jdf.queryExecution().executedPlan().toString()
