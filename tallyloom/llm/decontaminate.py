@@ -11,7 +11,8 @@ what only surrounds a copy; otherwise the longest one of which enough words are
 Items of fewer words than a seed are looked up whole: by the hash of all their words, in windows of as many words. A document
 that holds one of them is a leak if it has it word for word, and the first place of it is taken.
 
-The masks find every stretch of 13 words with up to 2 substitutions and of 16 with up to 3, wherever they stand. Words are runs of digits, letters
+The masks find every stretch of 13 words or more of which at least ``MIN_SHARE`` are equal, wherever the others stand (up to 60 words by
+tests of all patterns; longer ones have such a stretch in them or more equal words in a row than a seed has). Words are runs of digits, letters
 a-z (A-Z in lower case) and characters beyond ASCII.
 
 Defined cases: a null or empty text, and an item without words, has no leaks. Null ids and equal rows are
@@ -32,13 +33,15 @@ from tallyloom.llm.common import keep, new_name
 from tallyloom.llm.words import IS_MARK, WINDOW_BASES, mix, powers, split_words, window_hashes, window_starts, word_hashes
 
 # 1 marks the words that count.
-MASKS = ("00111111", "01101111", "11010111", "11111001")
+MASKS = ("00111111", "01101111", "11010111", "11111001", "10111010")
 SPAN = len(MASKS[0])
 MIN_WORDS = 13
 MIN_SHARE = 0.8
 MISMATCH = 3
 #: Equal words that make up for a differing one at ``MIN_SHARE``.
 MAKES_UP = 4
+#: Parts that the items found in one document are dealt to.
+ITEM_PARTS = 16
 #: Places that a seed takes in the bitmap, places of the bitmap per seed, and its largest size (as a power of two).
 PROBES = 3
 PLACES_PER_SEED = 256
@@ -182,9 +185,25 @@ def verify(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int
     return None
 
 
-def word_array(text: str) -> np.ndarray:
-    words = split_words([text], lower=True, between=IS_MARK)
-    return np.array(words.of_text(0), object)
+def word_numbers(text: str, known: dict[bytes, int]) -> np.ndarray:
+    """Words as numbers, equal for equal words; ``known`` has those so far."""
+    words = split_words([text], lower=True, between=IS_MARK).of_text(0)
+    return np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+
+
+def best_leak(doc: np.ndarray, item: np.ndarray, shifts: np.ndarray) -> tuple[int, int, int, int] | None:
+    """The leak with the most equal words, the first of these, over all shifts of an item."""
+    least = MIN_SHARE * min(MIN_WORDS, len(item))
+    best = None
+    for shift in shifts.tolist():
+        low, high = max(0, -shift), min(len(item), len(doc) - shift)
+        # Most shifts have no more in common than the seed that led to them.
+        if high - low < least or np.count_nonzero(item[low:high] == doc[low + shift : high + shift]) < least:
+            continue
+        found = verify(doc, item, shift)
+        if found and (best is None or (-found[3], found[0]) < (-best[3], best[0])):
+            best = found
+    return best
 
 
 def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,14 +211,13 @@ def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
         for row, text, candidates in zip(batch["row"], batch["text"], batch["candidates"]):
-            doc = word_array(text)
-            best: dict[int, tuple[int, ...]] = {}
+            known: dict[bytes, int] = {}
+            doc = word_numbers(text, known)
             for candidate in candidates:
-                found = verify(doc, word_array(candidate["item_text"]), int(candidate["shift"]))
-                item = int(candidate["item"])
-                if found and (item not in best or (-found[3], found[0]) < (-best[item][3], best[item][0])):
-                    best[item] = found
-            rows += [(row, item, *found) for item, found in best.items()]
+                item = word_numbers(candidate["item_text"], known)
+                found = best_leak(doc, item, np.asarray(candidate["shifts"], np.int64))
+                if found:
+                    rows.append((row, int(candidate["item"]), *found))
         yield pd.DataFrame(rows, columns=["row", "item", *names]).astype("int64")
 
 
@@ -256,16 +274,16 @@ def row_leaks(numbered: DataFrame, benchmark: DataFrame, item_text: str, item: s
     fields = f"row long, key {kind}, text string, masks array<int>, hashes array<long>, places array<long>"
     known = keep(numbered.select("row", "key", "text").mapInPandas(suspects, fields), "suspects")
     hits = known.select("row", F.inline(F.arrays_zip("masks", "hashes", "places"))).toDF("row", "mask", "hash", "at")
-    shifts = (
-        hits.join(index, ["mask", "hash"])
-        .groupBy("row", "item", (F.col("at") - F.col("place")).alias("shift"))
-        .agg(F.count(F.lit(1)).alias("votes"))
+    # Each shift of an item once, and an item's text once however many shifts it has in a document.
+    shifts = hits.join(index, ["mask", "hash"]).groupBy("row", "item").agg(
+        F.collect_set(F.col("at") - F.col("place")).alias("shifts")
     )
     texts = items.select("item", F.col("text").alias("item_text"))
-    listed = shifts.join(texts, "item").groupBy("row").agg(
-        F.collect_list(F.struct("item", "shift", "item_text")).alias("candidates")
+    # A document with many items is verified in parts, so that no row holds more than some items' texts.
+    listed = shifts.join(texts, "item").groupBy("row", F.pmod(F.col("item"), F.lit(ITEM_PARTS)).alias("part")).agg(
+        F.collect_list(F.struct("item", "shifts", "item_text")).alias("candidates")
     )
-    checked = known.select("row", "text").join(listed, "row").mapInPandas(
+    checked = known.select("row", "text").join(listed.drop("part"), "row").mapInPandas(
         verified, "row long, item long, doc_start long, item_start long, n_words long, n_equal long"
     )
     return checked.join(known.select("row", "key"), "row").join(items.select("item", "name"), "item")
