@@ -33,10 +33,11 @@ ORDER_BITS = (8, 12, 13, 13)
 PLACES = sum(1 << b for b in ORDER_BITS)
 UNKNOWN = "und"
 
-#: Bounds of what is learned from: rows per language, rows in all, languages (the most frequent ones).
+#: Bounds of what is learned from: rows per language, and rows in all unless there are too many languages for that.
 ROWS_PER_LANGUAGE = 400
 MAX_ROWS = 8192
-MAX_LANGUAGES = 512
+#: Rows of a language that are learned from, however many languages there are.
+LEAST_ROWS = 2
 LANDMARKS = 96
 RIDGE = 1e-3
 
@@ -122,22 +123,23 @@ def learned_from(doc_id: str = "doc_id") -> Column:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> Model | None:
     """Model of a bounded sample of the rows with text, language and key; None if there are none."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull())
-    counts = rows.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)
-    known = {r["lang"]: r["count"] for r in counts.collect()}
+    # One short entry per language.
+    known = {r["lang"]: r["count"] for r in rows.groupBy(F.col(lang).alias("lang")).count().collect()}
     if not known:
         return None
-    each = max(8, min(ROWS_PER_LANGUAGE, MAX_ROWS // len(known)))
+    each = max(LEAST_ROWS, min(ROWS_PER_LANGUAGE, MAX_ROWS // len(known)))
     spark = labelled.sparkSession
     rates = F.broadcast(
         spark.createDataFrame([(k, min(1.0, each / n)) for k, n in known.items()], "_lang string, _rate double")
     )
-    # Equal ids draw alike, so reruns and other partitionings learn from the same rows.
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key).cast("string")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # By the row's content, so reruns and other partitionings learn from the same rows; equal rows are drawn as one.
+    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key).cast("string"), F.col(text)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = (
         rows.select(F.col(text).alias("_text"), F.col(lang).alias("_lang"), draw.alias("_draw"))
         .join(rates, "_lang")
         .where(F.col("_draw") < F.col("_rate"))
-        .select("_text", "_lang", "_draw")
+        .groupBy("_lang", "_draw")
+        .agg(F.min("_text").alias("_text"))
     )
 
     def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,11 +163,13 @@ def solve(drawn: list[tuple[str, float, bytes]]) -> Model | None:
     one_thread()
     drawn = sorted(drawn)
     languages = sorted({d[0] for d in drawn})
-    each = max(2, LANDMARKS // len(languages))
-    chosen = []
-    for language in languages:
-        of_language = [d for d in drawn if d[0] == language]
-        chosen += [np.frombuffer(d[2], np.uint8) for d in of_language[:each]]
+    # In turns, so that every language has a landmark before one has two, and the first LANDMARKS do.
+    turns: dict[str, int] = {}
+    ranked = []
+    for d in drawn:
+        turns[d[0]] = turns.get(d[0], -1) + 1
+        ranked.append((turns[d[0]], d))
+    chosen = [np.frombuffer(d[2], np.uint8) for _, d in sorted(ranked)[: max(LANDMARKS, 2)]]
     landmarks = np.array(chosen)
     unpacked = np.unpackbits(landmarks, axis=1, count=PLACES).astype(np.float32)
     values = []

@@ -220,13 +220,22 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str], text:
     """Chain for ``categories``, in their order, each a condition (in SQL) on columns of ``labels``."""
     names = list(categories)
     marked = labels.select(F.col(key).alias("_key"), *[F.expr(c).alias(f"_{i}") for i, c in enumerate(categories.values())])
-    known = marked.dropna()
+    # Labels that repeat an id and all marks count once, so an id has few rows, however often it stands there.
+    known = marked.dropna().distinct()
     n = known.count()
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), F.col("_key").cast("string")), F.lit(1 << 30))
     drawn = known.withColumn("_draw", draw).where(F.col("_draw") < int((1 << 30) * min(1.0, SAMPLE_ROWS / max(n, 1))) + 1)
     # At most about SAMPLE_ROWS short rows, so they can be sent to the texts.
     drawn = F.broadcast(drawn) if n else drawn
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).dropna().join(drawn, "_key")
+    # A drawn id may have any number of texts: of these, too, only about as many are taken, and equal ones once.
+    met = docs.select(F.col(key).alias("_key")).dropna().join(drawn.select("_key"), "_key", "left_semi").count() if n else 0
+    if met > 2 * SAMPLE_ROWS:
+        again = F.pmod(F.xxhash64(F.lit("again"), F.col("_key").cast("string"), F.col("_text")), F.lit(1 << 30))
+        rows = rows.where(again < int((1 << 30) * SAMPLE_ROWS / met) + 1)
+        rows = rows.groupBy("_key", "_draw", *[f"_{i}" for i in range(len(names))], F.xxhash64("_text").alias("_h")).agg(
+            F.min("_text").alias("_text")
+        ).drop("_h")
 
     def featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
