@@ -2,13 +2,14 @@
 
 Every component x becomes floor(scale * x), and the score of a query and a candidate is their integer inner product. As
 ``2 * score = |q|^2 + |c|^2 - distance^2``, a lower bound of the distance is an upper bound of the score. The vectors are
-cut into 1, 4 and 16 segments; from a segment's mean and standard deviation on both sides follows a lower bound of its
-share of the distance, tighter the finer the cut. In a block of queries and a block of candidates the bounds are
-worked out from coarse to fine, each for the pairs that the one before leaves, and only survivors get their exact score.
+cut into segments; from a segment's mean and standard deviation on both sides follows a lower bound of its
+share of the distance, tighter the finer the cut. The levels go from 1 segment to 4, 16, half and three quarters of the components.
 
-A pair survives if its bound reaches the k-th best score that the query is known to have: at first among a bounded sample of
-candidates, which all tasks share, then among the block's own. Bounds only discard pairs that can't be among the
-first k, so the result is exact.
+A pair survives a level if its bound reaches the k-th best score that the query is known to have. That floor is found once per query
+row, in a bounded sample of the candidates, and rises while a block of candidates is searched piece by piece. Bounds of a piece are one
+matrix product per level over the queries and candidates that still have survivors. A level whose bounds would discard little, as a few
+queries show, is passed over for the next. Survivors get their exact score, singly where they are few. Bounds only discard pairs that
+can't be among the first k, so the result is exact whatever the floors.
 
 Every block of queries meets every block of candidates, as a stated set of queries is searched against all rows;
 blocks are of fixed size and dealt by a hash of the id, so equal vectors spread. Of each meeting at most k rows per
@@ -32,11 +33,19 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import keep, one_thread
 
 SCALE = 64
-SEGMENTS = (1, 4, 16)
-QUERY_BLOCK = 1024
-CANDIDATE_BLOCK = 4096
-#: Candidates that all queries are scored against first; a bound of the broadcast, not of the search.
-SAMPLE = 2048
+QUERY_BLOCK = 8192
+CANDIDATE_BLOCK = 8192
+#: Queries and candidates whose pairs are looked at together.
+QUERIES_AT_ONCE = 1024
+CANDIDATES_AT_ONCE = 2048
+#: Candidates that give queries their first floor, and their components together; bounds of the broadcast, not of the search.
+SAMPLE = 4096
+SAMPLE_COMPONENTS = 1 << 20
+#: Queries that show whether a level is worth while, and the share of pairs that it has to discard.
+TRIED = 32
+WORTH = 0.1
+#: Below this share of pairs, survivors are looked at one by one.
+FEW = 0.02
 EXACT_FLOAT = float(1 << 53)
 
 
@@ -62,12 +71,19 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
         root = np.sqrt(max(len(part), 1))
         mean = values.sum(1) / max(len(part), 1)
         spread = np.sqrt(np.maximum(((values - mean[:, None]) ** 2).sum(1), 0))
-        out += [mean * root, spread]
+        out.append(mean * root)
+        if len(part) > 1:
+            out.append(spread)
     return np.stack(out, 1)
 
 
+def cuts(dim: int) -> list[int]:
+    """Numbers of segments from coarse to fine; as many as there are components would be the score itself."""
+    return sorted({n for n in (1, 4, 16, dim // 2, 3 * dim // 4) if 0 < n < dim})
+
+
 def levels(vectors: np.ndarray) -> list[np.ndarray]:
-    return [statistics(vectors, s) for s in SEGMENTS]
+    return [statistics(vectors, n) for n in cuts(vectors.shape[1])]
 
 
 def scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -80,35 +96,103 @@ def scores(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     raise ValueError("inner products of these vectors don't fit in 64 bits")
 
 
-def best(ids: np.ndarray, found: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the k best: highest score, then smallest id."""
-    return np.lexsort((ids, -found))[:k]
+def slack_of(queries: np.ndarray, candidates: np.ndarray) -> float:
+    """What rounding may take from a bound."""
+    most = lambda x: float(np.abs(x).sum(1).max(initial=0))
+    return 1e-9 * most(queries) * most(candidates) + 1e-6
+
+
+def surviving(
+    queries: list[np.ndarray], candidates: list[np.ndarray], floors: np.ndarray, seen: list[list[int]] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs, as two lists of places, that no level discards. ``seen`` gets (level, pairs it looked at, pairs it left)."""
+    rows, columns = np.arange(len(floors)), np.arange(len(candidates[0]))
+    alive: np.ndarray | None = None
+    pairs: tuple[np.ndarray, np.ndarray] | None = None
+    share = 1.0
+    for level, (q, c) in enumerate(zip(queries, candidates)):
+        slack = slack_of(q, c)
+        if pairs is not None:
+            kept = np.einsum("ij,ij->i", q[pairs[0]], c[pairs[1]]) + slack >= floors[pairs[0]]
+            if seen is not None:
+                seen.append([level, len(kept), int(kept.sum())])
+            pairs = pairs[0][kept], pairs[1][kept]
+            continue
+        tried = rows[:: max(1, len(rows) // TRIED)]
+        would = q[tried] @ c[columns].T + slack >= floors[tried, None]
+        if would.mean() > (1 - WORTH) * share:
+            continue
+        left = q[rows] @ c[columns].T + slack >= floors[rows, None]
+        looked = left.size if alive is None else int(alive.sum())
+        alive = left if alive is None else alive & left
+        # Queries and candidates without a survivor go.
+        some_rows, some_columns = alive.any(1), alive.any(0)
+        if some_rows.mean() * some_columns.mean() < 0.7:
+            rows, columns, alive = rows[some_rows], columns[some_columns], alive[np.ix_(some_rows, some_columns)]
+        if seen is not None:
+            seen.append([level, looked, int(alive.sum())])
+        share = float(alive.mean()) if alive.size else 0.0
+        if share < FEW:
+            at = np.nonzero(alive)
+            pairs = rows[at[0]], columns[at[1]]
+    if pairs is None:
+        if alive is None:
+            return np.repeat(rows, len(columns)), np.tile(columns, len(rows))
+        at = np.nonzero(alive)
+        pairs = rows[at[0]], columns[at[1]]
+    return pairs
+
+
+def exact(queries: np.ndarray, candidates: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Scores of pairs."""
+    if len(at[0]) > FEW * len(queries) * len(candidates):
+        return scores(queries, candidates)[at]
+    limit = float(np.abs(queries).max(initial=0)) * float(np.abs(candidates).max(initial=0)) * max(queries.shape[1], 1)
+    if limit >= 2.0**63:
+        raise ValueError("inner products of these vectors don't fit in 64 bits")
+    return np.einsum("ij,ij->i", queries[at[0]], candidates[at[1]])
+
+
+def first_k(of: np.ndarray, ids: np.ndarray, found: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k best per query: highest score, then smallest id; in order."""
+    order = np.lexsort((ids, -found, of))
+    starts = np.searchsorted(of[order], of[order], "left")
+    return order[np.arange(len(order)) - starts < k]
 
 
 def search_block(
-    query_ids: np.ndarray, queries: np.ndarray, floors: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> list[tuple[int, int, int]]:
-    """(query's position, candidate's position, score) of up to k candidates per query that reach its floor."""
-    float_queries, float_vectors = queries.astype(np.float64), vectors.astype(np.float64)
-    lower = [(q, c) for q, c in zip(levels(float_queries), levels(float_vectors))]
-    (first_q, first_c), rest = lower[0], lower[1:]
-    out = []
-    for at in range(len(queries)):
-        floor = floors[at]
-        # Rounding may make a bound too small by a tiny share of the norms.
-        slack = 1e-9 * (np.abs(first_q[at]).sum() * np.abs(first_c).sum(1).max(initial=0)) + 1e-6
-        bound = first_c @ first_q[at]
-        alive = np.flatnonzero((bound + slack >= floor) & (ids != query_ids[at]))
-        for q, c in rest:
-            if len(alive):
-                alive = alive[c[alive] @ q[at] + slack >= floor]
-        if len(alive):
-            exact = scores(queries[at : at + 1], vectors[alive])[0]
-            reached = exact >= floor
-            alive, exact = alive[reached], exact[reached]
-            chosen = best(ids[alive], exact, k)
-            out += [(at, int(alive[i]), int(exact[i])) for i in chosen]
-    return out
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    floors: np.ndarray,
+    ids: np.ndarray,
+    vectors: np.ndarray,
+    k: int,
+    seen: list[list[int]] | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query's place, candidate's place, score) of up to k candidates per query that reach its floor."""
+    of_queries, of_vectors = levels(queries.astype(np.float64)), levels(vectors.astype(np.float64))
+    found = []
+    for a in range(0, len(queries), QUERIES_AT_ONCE):
+        some = slice(a, a + QUERIES_AT_ONCE)
+        floor = floors[some].astype(np.float64)
+        best = (np.empty(0, np.int64),) * 3
+        for b in range(0, len(vectors), CANDIDATES_AT_ONCE):
+            part = slice(b, b + CANDIDATES_AT_ONCE)
+            if of_queries:
+                at = surviving([q[some] for q in of_queries], [c[part] for c in of_vectors], floor, seen)
+            else:
+                at = tuple(x.ravel() for x in np.indices((len(floor), len(vectors[part]))))
+            score = exact(queries[some], vectors[part], at)
+            good = (score >= floor[at[0]]) & (query_ids[some][at[0]] != ids[part][at[1]])
+            best = tuple(np.concatenate(x) for x in zip(best, (at[0][good], at[1][good] + b, score[good])))
+            first = first_k(best[0], ids[best[1]], best[2], k)
+            best = tuple(x[first] for x in best)
+            # A query that has k rows can only be interested in scores from its last one on.
+            last = np.flatnonzero(np.bincount(best[0], minlength=len(floor)) == k)
+            ends = np.searchsorted(best[0], last, "right") - 1
+            floor[last] = np.maximum(floor[last], best[2][ends])
+        found.append((best[0] + a, best[1], best[2]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
 
 
 def floors_of(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int) -> np.ndarray:
@@ -116,9 +200,16 @@ def floors_of(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vecto
     out = np.full(len(queries), -np.inf)
     if len(ids) <= k:
         return out
-    found = scores(queries, vectors).astype(np.float64)
-    found[query_ids[:, None] == ids[None, :]] = -np.inf
-    return np.partition(found, -k, axis=1)[:, -k]
+    for a in range(0, len(queries), QUERIES_AT_ONCE):
+        some = slice(a, a + QUERIES_AT_ONCE)
+        found = scores(queries[some], vectors).astype(np.float64)
+        found[query_ids[some][:, None] == ids[None, :]] = -np.inf
+        out[some] = np.partition(found, -k, axis=1)[:, -k]
+    return out
+
+
+def matrix(listed: pd.Series) -> np.ndarray:
+    return np.array([np.asarray(x, np.int64) for x in listed]).reshape(len(listed), -1)
 
 
 def top_k(
@@ -148,45 +239,55 @@ def top_k(
             F.ceil(F.col("queries") / QUERY_BLOCK).cast("int").alias("query_blocks"),
         )
     )
-    dealt = rows.join(blocks, F.col("dim") == F.col("d")).drop("d")
-    place = F.xxhash64("id", "row")
-    candidates = dealt.withColumn("cb", F.pmod(place, F.col("candidate_blocks")).cast("int")).withColumn(
-        "qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1))
-    ).where("query_blocks > 0")
-    queries = dealt.where("query").withColumn("qb", F.pmod(place, F.col("query_blocks")).cast("int")).withColumn(
-        "cb", F.explode(F.sequence(F.lit(0), F.col("candidate_blocks") - 1))
-    )
-    sample = [(r["id"], r["v"]) for r in rows.orderBy(F.xxhash64("row")).select("id", "v").limit(SAMPLE).collect()]
+    longest = rows.agg(F.max("dim")).first()[0] or 1
+    size = max(1, min(SAMPLE, SAMPLE_COMPONENTS // max(longest, 1)))
+    sample = [(r["id"], r["v"]) for r in rows.orderBy(F.xxhash64("row")).select("id", "v").limit(size).collect()]
     shared = vectors.sparkSession.sparkContext.broadcast(sample)
 
-    def matrix(listed: pd.Series) -> np.ndarray:
-        return np.array([np.asarray(x, np.int64) for x in listed]).reshape(len(listed), -1)
+    def with_floors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        one_thread()
+        for batch in batches:
+            batch["floor"] = -np.inf
+            for dim in batch["dim"].unique():
+                alike = [(i, v) for i, v in shared.value if len(v) == dim]
+                of_dim = batch["dim"] == dim
+                if alike:
+                    known = np.array([v for _, v in alike], np.int64).reshape(len(alike), -1)
+                    floors = floors_of(
+                        batch.loc[of_dim, "id"].to_numpy(), matrix(batch.loc[of_dim, "v"]), np.array([i for i, _ in alike]), known, k
+                    )
+                    batch.loc[of_dim, "floor"] = floors
+            yield batch
+
+    place = F.xxhash64("id", "row")
+    candidates = (
+        rows.join(blocks, F.col("dim") == F.col("d"))
+        .where("query_blocks > 0")
+        .withColumn("cb", F.pmod(place, F.col("candidate_blocks")).cast("int"))
+        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("query_blocks") - 1)))
+    )
+    floored_queries = rows.where("query").select("id", "v", "dim", "row").mapInPandas(
+        with_floors, "id long, v array<long>, dim int, row long, floor double"
+    )
+    queries = (
+        floored_queries.join(blocks, F.col("dim") == F.col("d"))
+        .withColumn("qb", F.pmod(place, F.col("query_blocks")).cast("int"))
+        .withColumn("cb", F.explode(F.sequence(F.lit(0), F.col("candidate_blocks") - 1)))
+    )
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         one_thread()
         if not len(left) or not len(right):
             return pd.DataFrame({"query_row": [], "query_id": [], "id": [], "score": []}).astype("int64")
-        q, c = matrix(left["v"]), matrix(right["c_v"])
         ids, query_ids = right["c_id"].to_numpy(), left["id"].to_numpy()
-        alike = [(i, v) for i, v in shared.value if len(v) == q.shape[1]]
-        floors = np.full(len(q), -np.inf)
-        if alike:
-            known = np.array([v for _, v in alike], np.int64).reshape(len(alike), -1)
-            floors = floors_of(query_ids, q, np.array([i for i, _ in alike]), known, k)
-        found = search_block(query_ids, q, floors, ids, c, k)
-        at = np.array([f[0] for f in found], int)
+        at, of, score = search_block(query_ids, matrix(left["v"]), left["floor"].to_numpy(), ids, matrix(right["c_v"]), k)
         return pd.DataFrame(
-            {
-                "query_row": left["row"].to_numpy()[at],
-                "query_id": query_ids[at],
-                "id": ids[np.array([f[1] for f in found], int)],
-                "score": np.array([f[2] for f in found], np.int64),
-            }
+            {"query_row": left["row"].to_numpy()[at], "query_id": query_ids[at], "id": ids[of], "score": score.astype(np.int64)}
         )
 
     cell = ["dim", "qb", "cb"]
     met = (
-        queries.select(*cell, "row", "id", "v")
+        queries.select(*cell, "row", "id", "v", "floor")
         .groupBy(*cell)
         .cogroup(candidates.select(*[F.col(c).alias(f"c_{c}") for c in (*cell, "id", "v")]).groupBy(*[f"c_{c}" for c in cell]))
         .applyInPandas(meet, "query_row long, query_id long, id long, score long")
