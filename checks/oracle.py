@@ -355,4 +355,5 @@ ORACLE: dict[str, str] = {
     "row_differences": _with(RETOLD, "select * from apart"),
     "delimited_text": f"""
         select *, case doc_id % 3 when 0 then '' when 1 then lang end as note from ({CLEAN_DOCUMENTS})""",
+    "delimited_raw_text": "select * from documents",
 }

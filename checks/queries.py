@@ -323,6 +323,13 @@ def delimited_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.read_delimited(spark, path, cleaned.schema, multi_line=False)
 
 
+def delimited_raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = table(spark, sf_dir, "documents")
+    path = fresh_dir(spark, "raw_text")
+    delimited.write_delimited(raw, path)
+    return delimited.read_delimited(spark, path, raw.schema)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -359,5 +366,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         same_content,
         row_differences,
         delimited_text,
+        delimited_raw_text,
     )
 }

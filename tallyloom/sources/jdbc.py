@@ -1,7 +1,7 @@
 """Source tables in a relational database, read by many tasks at once.
 
-A load reads the periods it needs, each cut into ranges of its time stamps, so that every task has a share of the rows asked
-for. A whole table is cut by a hash of its key, of whatever type that is. The query texts are those of PostgreSQL.
+A load reads the periods it needs, cut into ranges of its time stamps that hold about equal numbers of rows: the database says
+in one query where to cut. A whole table is cut by a hash of its key, of whatever type that is. The query texts are those of PostgreSQL.
 """
 
 from __future__ import annotations
@@ -33,31 +33,68 @@ def _at(moment: datetime) -> str:
     return f"TIMESTAMP '{moment.isoformat(sep=' ')}'"
 
 
-def span_predicates(fields: Sequence[str], spans: Sequence[tuple[date, date]], parts: int) -> list[str]:
+def _within(name: str, spans: Sequence[tuple[datetime, datetime]]) -> str:
+    return " OR ".join(f"({name} >= {_at(a)} AND {name} < {_at(b)})" for a, b in spans)
+
+
+def _moments(spans: Sequence[tuple[date, date]]) -> list[tuple[datetime, datetime]]:
+    return sorted((datetime.combine(a, time()), datetime.combine(b, time())) for a, b in spans if a < b)
+
+
+def cuts_query(table: str, fields: Sequence[str], spans: Sequence[tuple[date, date]], parts: int) -> str:
+    """Query for the first moment of every one of ``parts`` equal shares of the rows asked for.
+
+    A row counts under the first of its fields that lies in a span. The database orders the moments and returns one short
+    row per share and field: the field's number and where the share begins.
+    """
+    moments = _moments(spans)
+    hits = [(n, quoted(f), _within(quoted(f), moments)) for n, f in enumerate(fields)]
+    which = "CASE " + " ".join(f"WHEN {hit} THEN {n}" for n, _, hit in hits) + " END"
+    moment = "CASE " + " ".join(f"WHEN {hit} THEN CAST({f} AS timestamp)" for _, f, hit in hits) + " END"
+    asked = " OR ".join(f"({hit})" for _, _, hit in hits)
+    dated = f"SELECT {which} AS field, {moment} AS moment FROM {table} WHERE {asked}"
+    shares = f"SELECT field, moment, NTILE({parts}) OVER (ORDER BY field, moment) AS share FROM ({dated}) AS dated"
+    return f"(SELECT field, MIN(moment) AS start FROM ({shares}) AS shares GROUP BY field, share) AS cuts"
+
+
+def span_predicates(
+    fields: Sequence[str],
+    spans: Sequence[tuple[date, date]],
+    parts: int,
+    cuts: Sequence[tuple[int, datetime]] | None = None,
+) -> list[str]:
     """Conditions that share out the rows of which a field lies in one of the spans (half-open).
 
     Each row meets exactly one: that of the first of its fields which lies in a span. A field that is NULL lies in none.
+    ``cuts`` are the places found by ``cuts_query``; without them the spans are cut into equal times. Rows that come in
+    after the places were found still meet one condition, as the conditions cover the spans whatever the cuts are.
     """
     if not fields or parts < 1:
         raise ValueError("needs a field and at least one part")
-    spans = [(datetime.combine(a, time()), datetime.combine(b, time())) for a, b in spans]
-    whole = sum((b - a for a, b in spans), timedelta())
-    step = max(timedelta(seconds=1), whole / parts if whole else timedelta(seconds=1))
-
-    def within(name: str) -> str:
-        return " OR ".join(f"({name} >= {_at(a)} AND {name} < {_at(b)})" for a, b in spans)
+    moments = _moments(spans)
+    if not moments:
+        return []
+    if cuts is None:
+        whole = sum((b - a for a, b in moments), timedelta())
+        step = max(timedelta(seconds=1), whole / parts)
+        even = []
+        for first, end in moments:
+            while first < end:
+                even.append(first)
+                first += step
+        cuts = [(n, at) for n in range(len(fields)) for at in even]
 
     out = []
     for n, wanted in enumerate(fields):
         # NULL of an earlier field is no reason to leave a row out.
-        earlier = "".join(f" AND NOT COALESCE({within(quoted(f))}, FALSE)" for f in fields[:n])
-        for first, end in spans:
-            start = first
-            while start < end:
-                stop = min(end, start + step)
-                name = quoted(wanted)
-                out.append(f"{name} >= {_at(start)} AND {name} < {_at(stop)}{earlier}")
-                start = stop
+        earlier = "".join(f" AND NOT COALESCE({_within(quoted(f), moments)}, FALSE)" for f in fields[:n])
+        first, end = moments[0][0], max(b for _, b in moments)
+        places = [first, *sorted({at for m, at in cuts if m == n and first < at < end}), end]
+        for start, stop in zip(places, places[1:]):
+            held = [(max(a, start), min(b, stop)) for a, b in moments if a < stop and b > start]
+            if held:
+                hit = _within(quoted(wanted), held)
+                out.append((f"({hit})" if len(held) > 1 else hit) + earlier)
     return out
 
 
@@ -112,6 +149,13 @@ class Database:
         return self._load_parts(table, key_predicates(key, self.parts))
 
     def read_spans(self, table: str, fields: Sequence[str], spans: Sequence[tuple[date, date]]) -> DataFrame:
-        """The rows of which a field lies in one of the spans; of no span, none."""
-        predicates = span_predicates(fields, spans, self.parts) if spans else ["1 = 0"]
-        return self._load_parts(table, predicates)
+        """The rows of which a field lies in one of the spans, in parts of about equal numbers of rows; of no span, none.
+
+        Rows of one instant stay in one part.
+        """
+        if not _moments(spans):
+            return self._load_parts(table, ["1 = 0"])
+        # At most one row per part and field.
+        found = self._load(cuts_query(table, fields, spans, self.parts)).collect() if self.parts > 1 else []
+        cuts = [(int(r["field"]), r["start"]) for r in found]
+        return self._load_parts(table, span_predicates(fields, spans, self.parts, cuts))

@@ -7,6 +7,7 @@ from collections import Counter
 from dataclasses import replace
 from datetime import date, datetime, time, timedelta
 
+import pandas as pd
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -412,6 +413,57 @@ def test_delimited_text(spark, tmp_path):
         delimited.read_delimited(spark, path, "id bigint, name int, x double").collect()
 
 
+AWKWARD = [
+    "plain", "two\nlines", "\n", "\n\n\n", '"\n"', 'say "a\nb"', '""\n', "a;\n;b", "\r", "a\r\nb", "\r\n", "x\r", " \n ", "", None, '"', '\n"',
+    "é\nй", "back\\slash\n", "long\n" * 200, '"quoted"\n' * 90,
+]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1000, 1 << 27])
+def test_files_with_line_breaks_may_be_cut_anywhere(spark, tmp_path, size):
+    rows = [(n, AWKWARD[n % len(AWKWARD)], AWKWARD[n // 3 % len(AWKWARD)]) for n in range(24 if size == 64 else 64)]
+    df = spark.createDataFrame(rows, "id int, `a name` string, b string")
+    path = str(tmp_path / "text")
+    delimited.write_delimited(df.repartition(2), path)
+    if size < 64:  # thousands of ranges: of few and short rows
+        path = str(tmp_path / "few")
+        df = spark.createDataFrame([(n, AWKWARD[n % 17], None) for n in range(18 if size > 1 else 6)], df.schema)
+        delimited.write_delimited(df.coalesce(1), path)
+    settings = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": 1}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = bag(delimited.read_delimited(spark, path, df.schema))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == bag(df)
+
+
+def test_line_states_do_not_depend_on_batches():
+    lines = pd.DataFrame({"file": ["f"] * 9 + ["g"] * 3, "begin": [0] * 5 + [40] * 4 + [0] * 3, "length": 40,
+                          "quotes": [0, 1, 0, 2, 1, 3, 0, 1, 0, 0, 1, 1]})
+    whole = pd.concat(delimited.placed_lines(iter([lines])))
+    pieces = pd.concat(delimited.placed_lines(iter([lines[:2], lines[2:2], lines[2:7], lines[7:]])))
+    assert whole.to_dict("list") == pieces.to_dict("list")
+    assert whole["turned"].tolist() == [0, 0, 1, 1, 1, 0, 1, 1, 0, 0, 0, 1]
+    totals = pd.concat(delimited.range_totals(iter([lines[:3], lines[3:]])))
+    assert totals[["begin", "turned", "last0", "last1"]].values.tolist() == [[0, 0, 1, 4], [40, 0, 3, 2], [0, 0, 1, 2]]
+
+
+def test_a_file_that_ends_inside_a_text_fails(spark, tmp_path):
+    spark.createDataFrame([('1;"open',), ("2;b",)], "value string").coalesce(1).write.text(str(tmp_path / "text"))
+    with pytest.raises(PySparkException, match="not closed"):
+        delimited.read_delimited(spark, str(tmp_path / "text"), "id int, name string").collect()
+
+
+def test_no_files_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([], "id int, name string")
+    delimited.write_delimited(df, str(tmp_path / "text"))
+    assert delimited.read_delimited(spark, str(tmp_path / "text"), df.schema).collect() == []
+
+
 def test_jdbc_options():
     assert jdbc.jdbc_options("jdbc:postgresql://db/x", "public.shifts", user="u") == {
         "url": "jdbc:postgresql://db/x",
@@ -441,6 +493,58 @@ def test_period_predicates_share_out_the_rows(duck):
         jdbc.span_predicates(["created_at"], spans, 0)
 
 
+def test_a_skewed_day_is_cut_into_even_parts(duck):
+    rng = random.Random(9)
+    busy = lambda: datetime(2024, 1, 9, 12) + timedelta(seconds=rng.randrange(600))
+    calm = lambda: datetime(2024, 1, 1) + timedelta(hours=rng.randrange(-50, 24 * 20))
+    rows = [(i, rng.choice([busy, calm, lambda: None])(), rng.choice([busy, calm])()) for i in range(3_000)]
+    duck.execute("create or replace table skewed (id bigint, created_at timestamp, updated_at timestamp)")
+    duck.executemany("insert into skewed values (?, ?, ?)", rows)
+    spans = [(date(2024, 1, 8), date(2024, 1, 15)), (date(2024, 1, 1), date(2024, 1, 4))]
+    inside = lambda t: t is not None and any(a <= t.date() < b for a, b in spans)
+    for fields in (["created_at"], ["created_at", "updated_at"]):
+        wanted = [i for i, c, u in rows if inside(c) or (len(fields) == 2 and inside(u))]
+        query = jdbc.cuts_query("skewed", fields, spans, 16)
+        cuts = duck.execute(f"select field, start from {query}").fetchall()
+        assert len(cuts) <= 16 + len(fields)
+        predicates = jdbc.span_predicates(fields, spans, 16, cuts)
+        parts = [[r[0] for r in duck.execute(f"select id from skewed where {p}").fetchall()] for p in predicates]
+        assert sorted(i for part in parts for i in part) == wanted
+        # One second holds a few rows, which stay together.
+        assert max(map(len, parts)) < 1.3 * len(wanted) / 16
+        even = jdbc.span_predicates(fields, spans, 16)
+        sizes = [duck.execute(f"select count(*) from skewed where {p}").fetchone()[0] for p in even]
+        assert max(sizes) > 4 * max(map(len, parts))
+
+
+def test_rows_that_come_after_the_cuts_are_read_too(duck):
+    spans = [(date(2024, 1, 1), date(2024, 1, 4))]
+    for cuts in ([], [(0, datetime(2024, 1, 1))], [(0, datetime(2024, 1, 2, 3, 4, 5, 678)), (0, datetime(2030, 1, 1)), (1, datetime(2024, 1, 3))]):
+        predicates = jdbc.span_predicates(["created_at"], spans, 4, cuts)
+        for moment in (datetime(2024, 1, 1), datetime(2024, 1, 2, 3, 4, 5, 678), datetime(2024, 1, 3, 23, 59, 59, 999_999)):
+            hits = [duck.execute(f"select {p} from (select timestamp '{moment}' as created_at)").fetchone()[0] for p in predicates]
+            assert hits.count(True) == 1
+    assert jdbc.span_predicates(["created_at"], [(date(2024, 1, 1), date(2024, 1, 1))], 4) == []
+
+
+def test_spans_are_read_by_the_cuts_of_the_database(spark, monkeypatch):
+    asked = []
+
+    class Answers(jdbc.Database):
+        def _load(self, table):
+            asked.append(table)
+            return spark.createDataFrame([(0, datetime(2024, 1, 1)), (0, datetime(2024, 1, 2, 12))], "field int, start timestamp_ntz")
+
+        def _load_parts(self, table, predicates):
+            return predicates
+
+    database = Answers(spark, "jdbc:none", 2)
+    spans = [(date(2024, 1, 1), date(2024, 1, 4))]
+    assert database.read_spans("t", ["c"], spans) == jdbc.span_predicates(["c"], spans, 2, [(0, datetime(2024, 1, 2, 12))])
+    assert asked == [jdbc.cuts_query("t", ["c"], spans, 2)]
+    assert database.read_spans("t", ["c"], []) == ["1 = 0"]
+
+
 def test_key_predicates_take_any_key():
     assert jdbc.key_predicates("id", 2) == [
         "MOD(ABS(HASHTEXT(CAST(\"id\" AS text))::bigint), 2) = 0 OR \"id\" IS NULL",
