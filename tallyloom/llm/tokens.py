@@ -4,9 +4,15 @@ A huge text is encoded in overlapping chunks, each with the offsets of its token
 spliced at a boundary that is proven stable. The tokenizer drops white space and matches its pieces within
 runs that hold none; neither do its normaliser or its special strings reach across an ASCII space or line
 feed. So the encoding of a text is that of what stands before such a character followed by that
-of what stands after it, and two chunks that both contain the character agree from there on. The splice
-checks this: the tokens that both chunks have between two boundaries must be equal. Where the overlap holds
-no boundary, or the tokens differ, it is widened, in the end to the whole of both chunks.
+of what stands after it, and two chunks that both contain the character agree from there on. The same holds between
+a full-width punctuation mark and a kana or Han letter, as written without spaces: pieces are runs of letters or runs of
+marks, no such pair composes into one character, neither of the two has case or is passed over when the form of a sigma is
+chosen, and no special string holds either.
+
+Chunks begin and end at boundaries, which are looked for in the text before anything is encoded. Two neighbours share a stretch
+between two boundaries, and the splice checks that they have equal tokens there. If they don't, the
+overlap is widened, in the end to the whole of both chunks; the next ones are then as long as what they came to, so
+that the work stays in proportion to the text. A text that has no boundary, a single word of a million letters, is encoded whole, once.
 
 Other texts need no splice. By the same rule their count is the sum over their space-separated words, and
 the words of a batch are encoded once each and remembered.
@@ -17,6 +23,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from typing import Any
 
@@ -55,52 +62,82 @@ def encode_chunk(tokenizer: Any, text: str, start: int, end: int) -> list[tuple[
     return [(i, a + start, b + start) for i, (a, b) in zip(found.ids, found.offsets)]
 
 
-def boundaries(text: str, start: int, end: int) -> list[int]:
-    """Places of the ASCII spaces and line feeds in ``text[start:end]``."""
-    return [i for i in range(start, end) if text[i] in " \n"]
+#: Places where encodings may be cut: after an ASCII space or line feed, and between a full-width mark and a letter. Letters
+#: are hiragana, katakana and Han without those that compose with what stands before them.
+BOUNDARY = re.compile("(?<=[ \\n])|(?<=[\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f])(?=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff])")
+
+
+def chunk_ends(text: str, start: int, chunk: int, overlap: int) -> tuple[int, int]:
+    """Where the chunk from ``start`` on ends, and where the next one begins.
+
+    Both are boundaries with more than white space between them, the first at or behind ``start + chunk``. The end of
+    the text twice, where there are no such boundaries.
+    """
+    target, size = start + chunk, len(text)
+    if target >= size:
+        return size, size
+    back, seen, blank = None, 0, True
+    for found in BOUNDARY.finditer(text, max(start + 1, target - overlap)):
+        at = found.start()
+        if back is None:
+            back = at
+        else:
+            blank = blank and text[seen:at].isspace()
+            if at >= target and not blank:
+                return at, back
+        seen = at
+    return size, size
 
 
 def splice_point(
-    left: list[tuple[int, int, int]], right: list[tuple[int, int, int]], places: list[int]
+    left: list[tuple[int, int, int]], right: list[tuple[int, int, int]], first: int, last: int
 ) -> tuple[int, int] | None:
     """How many tokens of ``left`` to keep and of ``right`` to drop, or None if the two don't align.
 
-    They align if the tokens between the first and the last boundary of the overlap are equal.
+    They align if their tokens between the two boundaries are equal.
     """
-    if len(places) < 2:
-        return None
-    first, last = places[0], places[-1]
-    kept = [t for t in left if t[2] <= first]
-    dropped = [t for t in right if t[2] <= first]
-    shared = [t for t in left[len(kept) :] if t[2] <= last]
-    again = [t for t in right[len(dropped) :] if t[2] <= last]
-    return (len(kept), len(dropped)) if shared and shared == again else None
+    kept, dropped = 0, 0
+    for kept in range(len(left), -1, -1):
+        if kept == 0 or left[kept - 1][2] <= first:
+            break
+    while dropped < len(right) and right[dropped][2] <= first:
+        dropped += 1
+    shared = [t for t in left[kept:] if t[2] <= last]
+    again = []
+    for token in right[dropped:]:
+        if token[2] > last:
+            break
+        again.append(token)
+    return (kept, dropped) if shared and shared == again else None
 
 
 def encode_huge(
     tokenizer: Any, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS
 ) -> list[tuple[int, int, int]]:
     """Tokens of a whole text with their offsets, encoded chunk by chunk."""
-    start, end = 0, min(chunk, len(text))
+    settled: list[tuple[int, int, int]] = []  # all before the latest chunk
+    start = 0
+    end, begin = chunk_ends(text, start, chunk, overlap)
     tokens = encode_chunk(tokenizer, text, start, end)
     while end < len(text):
-        wide, stop = overlap, min(end + chunk, len(text))
+        stop, following = chunk_ends(text, begin, chunk, overlap)
+        back, wide = begin, end - begin
         while True:
-            back = max(start, end - wide)
-            if back == start:  # as wide as the chunk itself: both become one
-                done = [t for t in tokens if t[2] <= start]
-                tokens = done + encode_chunk(tokenizer, text, start, stop)
-                break
             more = encode_chunk(tokenizer, text, back, stop)
-            cut = splice_point(tokens, more, boundaries(text, back, end))
+            cut = splice_point(tokens, more, back, end)
             if cut is not None:
-                tokens = tokens[: cut[0]] + more[cut[1] :]
-                # Later splices may reach back to the boundary, as all before it is settled.
-                start = boundaries(text, back, end)[0]
+                settled += tokens[: cut[0]]
+                tokens, start = more[cut[1] :], back
                 break
             wide *= 2
-        end = stop
-    return tokens
+            found = BOUNDARY.search(text, max(start + 1, end - wide), back) if end - wide > start else None
+            if found is None:  # as wide as the chunk itself: both become one
+                tokens = encode_chunk(tokenizer, text, start, stop)
+                chunk = max(chunk, stop - start)
+                break
+            back = found.start()
+        end, begin = stop, following
+    return settled + tokens
 
 
 def count_batch(texts: list[str | None], path: str, huge: int = HUGE_CHARS) -> list[int]:
