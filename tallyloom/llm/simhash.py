@@ -12,8 +12,10 @@ link at ``MAX_BITS`` or fewer differing bits, and components of linked fingerpri
 * Linked fingerprints of a deal are reduced to one link each before they are passed on, so the number of links
   stays in proportion to the fingerprints. Links and components are never gathered on the driver.
 
-A deal of very many fingerprints is handled in blocks that never exist as a whole in memory. There are no
-limits on partners or candidates.
+A deal of very many fingerprints is dealt again by the bits it does not share yet, within its task, until at most
+``CELL`` are left together; those are compared in blocks. A link differs in 3 of these bits at most, so it agrees in one of any 4 blocks
+of them and none is lost. A task holds the fingerprints of one deal, some 50 bytes each with their distances. There
+are no limits on partners or candidates.
 
 Why the deal: fingerprints of unlike texts lie 32 +- 4 bits from any pivot, so that a range of
 +-3 around a distance still holds more than half of them. Distances alone can discard pairs, but can't place
@@ -52,6 +54,8 @@ FIRST_PIVOTS = 3
 SALTS = 32
 #: Side of the square of pairs that is looked at at once.
 SQUARE = 1024
+#: Fingerprints of a deal that are compared with each other without dealing them again.
+CELL = 4096
 
 
 def shingle_hashes(words: list[bytes], size: int = SHINGLE_WORDS) -> np.ndarray:
@@ -164,49 +168,79 @@ class Groups:
             self.parent[max(a, b)] = min(a, b)
 
 
-def links_of_deal(fps: np.ndarray, reference: np.ndarray) -> list[tuple[int, int]]:
-    """One link to the first of its group for every fingerprint that has a near one among ``fps``."""
+def cells(fps: np.ndarray, rows: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """Subsets of ``rows`` of at most ``most`` (distinct) fingerprints, such that every pair that can link is in one of them.
+
+    The bits in which the fingerprints differ at all are cut into one block more than a link may differ in. A link agrees in
+    one of them, so the rows are dealt by each block in turn, and again where that leaves too many together.
+    A cell has fewer such bits than what it was cut from, so this ends.
+    """
+    if len(rows) <= most:
+        yield rows
+        return
+    here = fps[rows]
+    apart = int(np.bitwise_or.reduce(here ^ here[0]))
+    open_bits = [1 << n for n in range(64) if apart >> n & 1]
+    for block in range(MAX_BITS + 1):
+        shared = here & np.uint64(sum(open_bits[block :: MAX_BITS + 1]))
+        order = np.argsort(shared, kind="stable")
+        edge = np.flatnonzero(np.diff(shared[order])) + 1
+        for part in np.split(rows[order], edge):
+            if len(part) > 1:
+                yield from cells(fps, part, most)
+
+
+def links_of_deal(fps: np.ndarray, reference: np.ndarray, most: int = CELL) -> list[tuple[int, int]]:
+    """One link to the first of its group for every fingerprint that has a near one among ``fps``, which are distinct."""
     table, groups = distances(fps, reference), Groups(len(fps))
-    for a in range(0, len(fps), SQUARE):
-        for b in range(a, len(fps), SQUARE):
-            i, j = near_pairs(fps[a : a + SQUARE], fps[b : b + SQUARE], table[a : a + SQUARE], table[b : b + SQUARE], a == b)
-            for x, y in zip((i + a).tolist(), (j + b).tolist()):
-                groups.join(x, y)
+    for rows in cells(fps, np.arange(len(fps)), max(most, 1 << MAX_BITS)):
+        for a in range(0, len(rows), SQUARE):
+            for b in range(a, len(rows), SQUARE):
+                p, q = rows[a : a + SQUARE], rows[b : b + SQUARE]
+                i, j = near_pairs(fps[p], fps[q], table[p], table[q], a == b)
+                for x, y in zip(p[i].tolist(), q[j].tolist()):
+                    groups.join(x, y)
     return [(i, r) for i in range(len(fps)) if (r := groups.find(i)) != i]
 
 
 def link_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Links from rows (deal, bits, fp) that come sorted by deal and bits; a deal may span batches."""
     reference = pivots()
-    rest: pd.DataFrame | None = None
+    held: list[np.ndarray] = []  # parts of the deal that may go on
+    held_key: tuple[int, int] | None = None
 
-    def links(rows: pd.DataFrame) -> pd.DataFrame:
-        fps = rows["fp"].to_numpy().view(np.uint64)
-        key = rows[["deal", "bits"]].to_numpy()
-        edge = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
-        u, v = [], []
-        for a, b in zip((0, *edge.tolist()), (*edge.tolist(), len(fps))):
-            if b - a == 2:
-                if int(fps[a] ^ fps[a + 1]).bit_count() <= MAX_BITS:
-                    u.append(a + 1)
-                    v.append(a)
-            elif b - a > 2:
-                for i, r in links_of_deal(fps[a:b], reference):
-                    u.append(a + i)
-                    v.append(a + r)
-        signed = fps.view(np.int64)
-        return pd.DataFrame({"u": signed[u], "v": signed[v]})
+    def links(fps: np.ndarray) -> list[tuple[int, int]]:
+        if len(fps) == 2:
+            return [(1, 0)] if int(fps[0] ^ fps[1]).bit_count() <= MAX_BITS else []
+        return links_of_deal(fps, reference) if len(fps) > 2 else []
 
-    for batch in batches:
-        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+    def frame(found: list[tuple[np.ndarray, list[tuple[int, int]]]]) -> pd.DataFrame:
+        u = [fps[i] for fps, pairs in found for i, _ in pairs]
+        v = [fps[r] for fps, pairs in found for _, r in pairs]
+        return pd.DataFrame({"u": np.array(u, np.uint64).view(np.int64), "v": np.array(v, np.uint64).view(np.int64)})
+
+    for rows in batches:
         if not len(rows):
             continue
-        last = (rows["deal"] == rows["deal"].iloc[-1]) & (rows["bits"] == rows["bits"].iloc[-1])
-        rest = rows[last]
-        if not last.all():
-            yield links(rows[~last])
-    if rest is not None and len(rest):
-        yield links(rest)
+        fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
+        key = rows[["deal", "bits"]].to_numpy(np.int64)
+        edge = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
+        bounds = np.array([0, *edge.tolist(), len(fps)])
+        done = []
+        if held_key is not None and held_key != tuple(key[0].tolist()):
+            done.append(np.concatenate(held))
+            held = []
+        held.append(fps[: bounds[1]].copy())
+        if len(bounds) > 2:
+            done.append(np.concatenate(held))
+            full = np.flatnonzero(np.diff(bounds[1:-1]) > 1) + 1
+            done += [fps[bounds[n] : bounds[n + 1]] for n in full.tolist()]
+            held = [fps[bounds[-2] :].copy()]
+        held_key = tuple(key[-1].tolist())
+        yield frame([(deal, links(deal)) for deal in done])
+    if held:
+        deal = np.concatenate(held)
+        yield frame([(deal, links(deal))])
 
 
 def fingerprint_links(distinct: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 
@@ -97,6 +98,71 @@ def test_links_of_random_fingerprints(spark, monkeypatch, square):
     assert all(len(g) == 1 for g in groups.values()) and len(groups) == len(set(expected))
 
 
+def near_some(rng, n, shared=0, held=0):
+    """``n`` distinct numbers with equal bits under a mask, many of them a few bits from another."""
+    found = set()
+    while len(found) < n:
+        value = rng.getrandbits(64)
+        if found and rng.random() < 0.6:
+            value = rng.choice(list(found)[:50])
+            for bit in rng.sample(range(64), rng.randint(1, 5)):
+                value ^= 1 << bit
+        found.add(value & ~held | shared & held)
+    return np.array(sorted(found), np.uint64)
+
+
+def groups_of(pairs, n):
+    root = list(range(n))
+    for i, r in pairs:
+        root[i] = r
+    return root
+
+
+@pytest.mark.parametrize("most", [8, 20, 10_000])
+@pytest.mark.parametrize("held", [0, (1 << 33) - 1, (1 << 50) - 1])
+def test_large_deals_lose_no_link(most, held):
+    fps = near_some(random.Random(most + held), 400, shared=0x123456789ABCDEF, held=held)
+    links = simhash.links_of_deal(fps, simhash.pivots(), most)
+    assert groups_of(links, len(fps)) == plain_components([int(f) for f in fps])
+
+
+def test_cells_are_small_and_hold_every_near_pair():
+    fps = near_some(random.Random(3), 600, held=(1 << 40) - 1)
+    parts = [set(rows.tolist()) for rows in simhash.cells(fps, np.arange(len(fps)), 32)]
+    assert max(map(len, parts)) <= 32
+    for i in range(len(fps)):
+        for j in range(i):
+            if int(fps[i] ^ fps[j]).bit_count() <= 3:
+                assert any(i in part and j in part for part in parts)
+
+
+def test_a_deal_may_span_batches():
+    rng = random.Random(8)
+    deals = [near_some(rng, n, held=(1 << 40) - 1) for n in (1, 2, 300, 1, 1, 2, 90, 3)]
+    rows = pd.DataFrame([(d % 2, d, int(f)) for d, fps in enumerate(deals) for f in fps.view(np.int64)], columns=["deal", "bits", "fp"])
+    whole = pd.concat(simhash.link_batches(iter([rows])))
+    assert len(whole) > 50
+    for cuts in ([0], [1, 2, 3], [100, 100, 200, 302], list(range(1, len(rows)))):
+        edges = [0, *cuts, len(rows)]
+        pieces = pd.concat(simhash.link_batches(iter([rows[a:b] for a, b in zip(edges, edges[1:])])))
+        assert whole.values.tolist() == pieces.values.tolist()
+    assert list(simhash.link_batches(iter([rows[:0]]))) == []
+
+
+def test_one_deal_of_very_many_fingerprints():
+    """A third of all documents may agree in the bits of a deal; the work must not grow as their square."""
+    rng = np.random.default_rng(5)
+    fps = np.unique(rng.integers(0, 1 << 31, 200_000, dtype=np.uint64))
+    fps = np.unique(np.concatenate([fps, fps[:500] ^ np.uint64(1 << 31)]))
+    compared = 0
+    for rows in simhash.cells(fps, np.arange(len(fps)), simhash.CELL):
+        compared += len(rows) * (len(rows) - 1) // 2
+    assert compared < len(fps) ** 2 / 2 / 50
+    links = simhash.links_of_deal(fps, simhash.pivots())
+    root = {int(f): int(fps[r]) for f, r in zip(fps, groups_of(links, len(fps)))}
+    assert all(root[int(f) ^ 1 << 31] == root[int(f)] for f in fps[-500:])
+
+
 def test_blocks_agree_whatever_three_bits_differ():
     masks = simhash.deals()
     assert len(masks) == 20
