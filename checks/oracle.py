@@ -236,17 +236,22 @@ RETOLD = [
        group by 1, 2, 3, 4, 5, 6, 7, 8 having sum(here) <> sum(there))""",
 ]
 
+CALENDAR_OF_SHIFTS = _with(
+    [SHIFTS],
+    """select unnest(generate_series(cast(cast(min(created_at) as date) as timestamp),
+           cast(date_trunc('week', max(end_date)) as timestamp) + interval 6 day, interval 1 day)) as dt
+       from shifts""",
+)
+PERIODS_OF_ORDERS = """
+    select distinct unit, cast(date_trunc(unit, day) as date) as period
+    from (select unnest(generate_series(min(o_orderdate), max(o_orderdate), interval 1 day)) as day from orders)
+    cross join (values ('day'), ('week'), ('month'), ('year')) as units(unit)"""
+
 ORACLE: dict[str, str] = {
-    "calendar": _with(
-        [SHIFTS],
-        """select unnest(generate_series(cast(cast(min(created_at) as date) as timestamp),
-               cast(date_trunc('week', max(end_date)) as timestamp) + interval 6 day, interval 1 day)) as dt
-           from shifts""",
-    ),
-    "load_periods": """
-        select distinct unit, cast(date_trunc(unit, day) as date) as period
-        from (select unnest(generate_series(min(o_orderdate), max(o_orderdate), interval 1 day)) as day from orders)
-        cross join (values ('day'), ('week'), ('month'), ('year')) as units(unit)""",
+    "calendar": CALENDAR_OF_SHIFTS,
+    "calendar_days": CALENDAR_OF_SHIFTS,
+    "load_periods": PERIODS_OF_ORDERS,
+    "load_period_list": PERIODS_OF_ORDERS,
     "shifts_base": _with([SHIFTS, BASE], "select * from base"),
     "shift_days": _with([SHIFTS, BASE, DAYS], "select * from days"),
     "status_intervals": _with([HISTORY, INTERVALS], "select * from intervals"),
@@ -322,6 +327,12 @@ ORACLE: dict[str, str] = {
                   updated_at, 'L0' as launch_id
            from source""",
     ),
+    "load_shifts": _with(
+        [SHIFTS],
+        """select created_at, end_date, id, max_count, role_id, start_date, warehouse_id,
+                  'L-' || strftime(created_at, '%Y-%m-%d') as launch_id
+           from shifts where created_at >= timestamp '1999-12-27' and created_at < timestamp '2000-01-04'""",
+    ),
     "load_with_new_column": _with(
         WEEKLY,
         "select * replace (case when launch_id <> 'L0' then o_orderpriority end as o_orderpriority) from loaded",

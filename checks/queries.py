@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from checks.views import table
+from tallyloom.functions import PERIOD_UNITS
 from tallyloom.operators import calendar as cal
 from tallyloom.operators import conform as con
 from tallyloom.operators import extract as ext
@@ -85,6 +86,20 @@ def load_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.periods_over(table(spark, sf_dir, "orders"), "o_orderdate")
 
 
+def calendar_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar that the mart takes, up to the week of a moment that is a parameter; here that of the last shift."""
+    span = views.shifts(table(spark, sf_dir, "orders")).agg(F.min("created_at"), F.max("end_date")).first()
+    return cal.Calendar.upto(span[1], start=span[0].date()).days(spark)
+
+
+def load_period_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periods that a loader goes through from the first to the last order."""
+    span = table(spark, sf_dir, "orders").agg(F.min("o_orderdate"), F.max("o_orderdate")).first()
+    first, last = cal.resolve_interval(*span)
+    rows = [(unit, period) for unit in PERIOD_UNITS for period in cal.load_periods(first, last, unit)]
+    return spark.createDataFrame(rows, "unit string, period date")
+
+
 def shifts_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shifts.shifts_base(views.shifts(table(spark, sf_dir, "orders")))
 
@@ -232,6 +247,14 @@ def load_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
 
 
+def load_shifts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight days of shifts by the spec that comes with the package."""
+    loader, _ = _loader(spark)
+    spec = replace(load.SHIFTS, target_table=f"shifts_{uuid.uuid4().hex}")
+    loader.load(spec, views.shifts(table(spark, sf_dir, "orders")), start=WEEKS[0], end=WEEKS[-1])
+    return spark.table(f"{loader.layers.snapshot}.{spec.target_table}").drop(tables.PART)
+
+
 def load_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     loader, spec = _loader(spark)
     source = _source(spark, sf_dir)
@@ -335,6 +358,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         calendar,
         load_periods,
+        calendar_days,
+        load_period_list,
         shifts_base,
         shift_days,
         status_intervals,
@@ -357,6 +382,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_snapshot,
         load_incremental,
         load_full,
+        load_shifts,
         load_resumed,
         vacuumed_snapshot,
         load_with_new_column,

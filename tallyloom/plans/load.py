@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import date
 from typing import Any, Protocol
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.calendar import load_periods, resolve_interval
 from tallyloom.operators.conform import LAUNCH_ID, SourceColumn, measure, source_columns
-from tallyloom.operators.extract import extract, extract_periods, has_updates, period_ranges
+from tallyloom.operators.extract import UPDATED_AT, extract, extract_periods, has_updates, period_ranges
 from tallyloom.operators.skew import heavy_keys
 from tallyloom.operators.upsert import latest_launches, upsert
 from tallyloom.plans.journal import APPLIED, DROPPED, NAMED, STAGED, Journal, Load
@@ -45,8 +45,11 @@ SHIFT_REASONS = LoadSpec("public.shift_reasons", "shift_reasons", None, "created
 
 @dataclass(frozen=True)
 class LoadResult:
+    """Launches by period and partitions that were rewritten; ``later`` are the passes over what changed meanwhile."""
+
     launches: dict[date | None, str]
     rewritten: list[str]
+    later: list[LoadResult] = field(default_factory=list)
 
 
 class Database(Protocol):
@@ -58,7 +61,9 @@ class Database(Protocol):
 
     def read(self, table: str, key: str) -> DataFrame: ...
 
-    def read_spans(self, table: str, fields: Sequence[str], spans: Sequence[tuple[date, date]]) -> DataFrame: ...
+    def read_passes(
+        self, table: str, fields: Sequence[str], spans: Sequence[tuple[date, date]], changed: str | None
+    ) -> Iterable[DataFrame]: ...
 
 
 def name_launches(
@@ -147,6 +152,9 @@ class Loader:
         """Load a spec from the database that it names, reading only the periods asked for.
 
         Text lengths are measured by the database, and only while there is no staging table yet.
+
+        A table that tells when its rows changed is read in passes, so that rows which change while they are read are neither lost
+        nor doubled. Each pass is a load of its own, with launches of its own, applied before the next begins.
         """
         columns = database.columns(spec.source_table, spec.dbname)
         if not self.spark.catalog.tableExists(StagingTable(self.spark, self.layers, spec.target_table).name):
@@ -155,9 +163,12 @@ class Loader:
             return self.load(spec, database.read(spec.source_table, spec.key), start, end, interval, columns, anchor)
         first, last = resolve_interval(start, end, interval)
         spans = period_ranges(load_periods(first, last, spec.date_trunc, anchor), spec.date_trunc)
-        fields = [spec.partitioning_field, *(["updated_at"] if has_updates(columns) else [])]
-        source = database.read_spans(spec.source_table, fields, spans)
-        return self.load(spec, source, first, last, None, columns, anchor)
+        changed = UPDATED_AT if has_updates(columns) else None
+        fields = [spec.partitioning_field, *([changed] if changed else [])]
+        passes = database.read_passes(spec.source_table, fields, spans, changed)
+        # One after the other: a pass is asked for when the one before is in the snapshot.
+        done = [self.load(spec, source, first, last, None, columns, anchor) for source in passes]
+        return replace(done[0], later=done[1:])
 
     def load(
         self,

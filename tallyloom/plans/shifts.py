@@ -21,7 +21,7 @@ from tallyloom.functions import (
 )
 from tallyloom.operators.calendar import Calendar, explode_days
 from tallyloom.operators.intervals import STATUS_OFF, STATUS_ON, status_events
-from tallyloom.operators.skew import heavy_keys, skew_join
+from tallyloom.operators.skew import heavy_keys, is_heavy, skew_join
 
 # The role the mart covers and the texts it prints.
 COURIER_ROLE = 1
@@ -78,21 +78,37 @@ def shift_days(base: DataFrame, calendar: Calendar) -> DataFrame:
     )
 
 
-def counted(base: DataFrame, *columns: str) -> DataFrame:
+def counted(base: DataFrame, *columns: str, repeated: Sequence[Any] = ()) -> DataFrame:
     """Distinct rows and how many shifts each stands for.
 
     An id may occur more than once; counting equal rows before a join keeps their copies from being
     paired with every row of that id. NULL ids meet nothing, so they are left out. Rows are dealt by
-    id alone, which the join that follows can use as it is.
+    id alone, which the join that follows can use as it is. Those of the ``repeated`` ids would meet in one
+    task, so they are counted where they are read first and dealt by all columns.
     """
-    return base.where(F.col("shift_id").isNotNull()).repartition("shift_id").groupBy(*columns).agg(F.count(F.lit(1)).alias("shifts"))
+
+    def count(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("shifts"))
+
+    base = base.where(F.col("shift_id").isNotNull())
+    repeated = [k for k in repeated if k is not None]
+    if not repeated:
+        return count(base.repartition("shift_id"))
+    hot = is_heavy(F.col("shift_id"), repeated)
+    return count(base.where(~hot).repartition("shift_id")).unionByName(count(base.where(hot)))
 
 
 def shift_dynamic(
-    base: DataFrame, history: DataFrame, calendar: Calendar, heavy: Sequence[Any] | None = None
+    base: DataFrame,
+    history: DataFrame,
+    calendar: Calendar,
+    heavy: Sequence[Any] | None = None,
+    repeated: Sequence[Any] | None = None,
 ) -> DataFrame:
     """Employees on a shift at the midnights 0 to 3 whole days before its planned start.
 
+    ``repeated`` names ids with very many rows in ``base``; those of ``heavy`` if not given.
+
     Whole days are truncated toward zero: a shift that starts after midnight has two midnights 0 days
     away, and an employee on it at both is counted twice. A shift is present if any employee has any
     status at any of its midnights.
@@ -112,6 +128,7 @@ def shift_dynamic(
         .withColumn("start_day", start_day)
         .withColumn("after_midnight", F.col("plan_shift_start") > start_day.cast("timestamp_ntz")),
         *kind,
+        repeated=heavy if repeated is None else repeated,
     )
     midnights = {"next": F.date_add("start_day", 1), **{str(n): F.date_sub("start_day", n) for n in HEAD_COUNTS}}
 
@@ -142,8 +159,10 @@ def shift_dynamic(
     return skew_join(events, spans, "shift_id", heavy, then=match)
 
 
-def shift_stat(base: DataFrame, couriers: DataFrame, heavy: Sequence[Any] | None = None) -> DataFrame:
-    """Hours and head counts per shift from the actual hours of each employee.
+def shift_stat(
+    base: DataFrame, couriers: DataFrame, heavy: Sequence[Any] | None = None, repeated: Sequence[Any] | None = None
+) -> DataFrame:
+    """Hours and head counts per shift from the actual hours of each employee; ``repeated`` as in ``shift_dynamic``.
 
     Whole seconds are summed and divided once, so the sums do not depend on the order of rows.
     """
@@ -170,7 +189,8 @@ def shift_stat(base: DataFrame, couriers: DataFrame, heavy: Sequence[Any] | None
             F.sum(F.when(F.col("paid_sh") > 0, copies).otherwise(0)).alias("working_cnt"),
         )
 
-    planned = counted(base, "shift_id", "max_count", "shift_len", "plan_shift_start", "plan_shift_end")
+    kind = ("shift_id", "max_count", "shift_len", "plan_shift_start", "plan_shift_end")
+    planned = counted(base, *kind, repeated=heavy if repeated is None else repeated)
     worked = couriers.select("shift_id", "paid_sh", "fact_shift_start", "fact_shift_end", "removed_dttm")
     return skew_join(worked, planned, "shift_id", heavy, then=per_shift).select(
         "shift_id",
@@ -196,9 +216,9 @@ def mv_shifts_agg(
     ``heavy`` names shift ids with very many history or courier rows; they are looked for if not given.
     """
     base = shifts_base(shifts)
-    dynamic = shift_dynamic(base, history, calendar or Calendar.upto(), heavy)
-    stat = shift_stat(base, couriers, heavy)
     repeated = heavy_keys(base, "shift_id") if heavy is None else heavy
+    dynamic = shift_dynamic(base, history, calendar or Calendar.upto(), heavy, repeated)
+    stat = shift_stat(base, couriers, heavy, repeated)
     unfilled = F.col("max_count") - F.col("not_removed_cnt")
     skipped = F.col("not_removed_cnt") - F.col("working_cnt")
     return (

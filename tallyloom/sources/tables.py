@@ -159,6 +159,25 @@ def column_ddl(spark: SparkSession, columns: Sequence[SourceColumn]) -> str:
     return ", ".join(ddl(c) for c in columns)
 
 
+def layout(spark: SparkSession, table: str) -> tuple[str, list[tuple[str, str]]]:
+    """Format of a table, and its columns as declared, followed by those that partition it."""
+    rows = [(r["col_name"], r["data_type"]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    end = next(n for n, (name, _) in enumerate(rows) if name.startswith("# Detailed"))
+    return dict(rows[end:])["Provider"].lower(), [r for r in rows[:end] if r[0]]
+
+
+def replace_table(spark: SparkSession, name: str, next_name: str) -> None:
+    """Let ``name`` show the files of the external table ``next_name``, which is gone afterwards."""
+    shape = layout(spark, name)
+    if shape == layout(spark, next_name) and not any(column.startswith("# Partition") for column, _ in shape[1]):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location_of(spark, next_name)}'")
+        spark.catalog.refreshTable(name)
+        spark.sql(f"DROP TABLE {next_name}")
+    else:
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {next_name} RENAME TO {name}")
+
+
 def create_table(
     spark: SparkSession,
     name: str,
@@ -168,12 +187,20 @@ def create_table(
     if_exists: str | None = None,
     using: str = "parquet",
 ) -> None:
-    """Create an external table. A conflict is an error unless ``if_exists`` is ``KEEP`` or ``REPLACE``."""
+    """Create an external table. A conflict is an error unless ``if_exists`` is ``KEEP`` or ``REPLACE``.
+
+    ``REPLACE`` makes the new table first, so whatever fails leaves the old one. An unpartitioned table of the same columns
+    and format is emptied by one statement; else the old table is missing for the moment of the rename.
+    """
     if if_exists not in (None, "KEEP", "REPLACE"):
         raise ValueError(f"unknown if_exists {if_exists!r}")
     if if_exists == "REPLACE":
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
         location = f"{location}/v={uuid.uuid4().hex}"
+        if spark.catalog.tableExists(name):
+            next_name = f"{name}_{uuid.uuid4().hex}"
+            create_table(spark, next_name, ddl, location, partition_by, using=using)
+            replace_table(spark, name, next_name)
+            return
     guard = "IF NOT EXISTS " if if_exists == "KEEP" else ""
     by = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     partitioned = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if by else ""

@@ -235,6 +235,20 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
+def test_rows_of_a_repeated_id_are_counted_before_they_are_dealt(spark):
+    base = spark.range(30_000).selectExpr(
+        "case when id % 3 = 0 then 7 when id % 50 = 1 then null else id end as shift_id", "id % 2 as max_count"
+    )
+    plain = sh.counted(base, "shift_id", "max_count")
+    split = sh.counted(base, "shift_id", "max_count", repeated=[7, None])
+    # What is dealt of the id are its distinct rows per task, by all columns; the raw rows of the others go by id alone.
+    dealt = [line for line in split._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
+    assert len(dealt) == 2 and sum("max_count" in line for line in dealt) == 1
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, plain.collect()))
+    one_id = sh.counted(base.where("shift_id = 7").coalesce(4), "shift_id", "max_count", repeated=[7])
+    assert sorted(r["shifts"] for r in one_id.collect()) == [5_000, 5_001]
+
+
 def test_plans_have_no_nested_loops(spark, sample_dir):
     lazy = set(QUERIES) - {"load_full", "load_incremental", "materialised_mart", "delimited_text", "delimited_raw_text"}
     for name in sorted(lazy):
