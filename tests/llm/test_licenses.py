@@ -56,6 +56,59 @@ def test_long_wordings_with_words_changed_put_in_and_left_out(spark):
     assert rows[0]["score"] == 1 and 0.7 < rows[1]["score"] < 1 and rows[5]["score"] == 0
 
 
+def changed(text, rng, share):
+    """The words with about a share of them changed, left out or followed by another."""
+    out = []
+    for word in text.split():
+        draw = rng.random() / share
+        out += [word] if draw >= 1 else [["zz"], [], [word, "qq"]][int(draw * 3)]
+    return " ".join(out)
+
+
+def test_whole_license_texts(spark):
+    rng = random.Random(4)
+    noise = "the software is in the copies of the software and or the use of the license with this notice in all of it "
+    plain, marked = [], []
+    for text, label in licenses.WHOLE:
+        plain += [f"{noise * 30}{text} {noise * 30}", f"{noise * 3}{changed(text, rng, 0.06)} {noise * 3}", f"{text} {text}"]
+        marked += [label] * 3
+        # Half of a text, or its words in another order, is not the text.
+        words = text.split()
+        plain += [" ".join(rng.sample(words, len(words)))]
+        marked += [None]
+    rows = licenses.scan(documents(spark, [*plain, noise * 200])).orderBy("doc_id").collect()
+    for r, label in zip(rows, marked):
+        assert (label in r["labels"].split(",")) if label else r["labels"] == "", (r, label)
+    assert rows[-1]["labels"] == "" and rows[-1]["score"] == 0
+
+
+def test_templates_from_a_table(spark, monkeypatch):
+    rng = random.Random(8)
+    long = " ".join(f"w{rng.randrange(400)}" for _ in range(500))
+    table = spark.createDataFrame(
+        [("long", long, None, 1), ("short", "one two", True, 2), ("short", "One, two", True, 3), ("again", "one two", False, 4),
+         ("single", "one", True, 5), (None, "one two", True, 6), ("none", None, True, 7)],
+        "label string, text string, base boolean, words int",
+    )
+    texts = [f"x y {long} z", changed(long, rng, 0.08), " ".join(long.split()[:250]), "one two one two", "one", "", None]
+    docs = with_clashes(documents(spark, texts))
+
+    def found():
+        return [
+            (r["labels"], r["base_labels"], r["n_base"], r["first_word"], r["last_word"])
+            for r in licenses.scan(docs, templates=table).orderBy("doc_id").collect()
+        ]
+
+    nothing = ("", "", 0, None, None)
+    expected = [("long", "", 0, None, None)] * 2 + [nothing, ("again,short", "short", 2, 0, 2)] + [nothing] * 3
+    assert found() == expected
+    # Too many for a broadcast, and none at all.
+    monkeypatch.setattr(licenses, "BROADCAST_GRAMS", 0)
+    assert found() == expected
+    table = empty(table)
+    assert found() == [nothing] * 7
+
+
 def test_null_ids_and_empty_table(spark):
     rows = licenses.scan(documents(spark, ["cc by", "cc by", None], ids=[None, None, None])).collect()
     assert sorted(r["n_base"] for r in rows) == [0, 1, 1]
