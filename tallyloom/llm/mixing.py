@@ -18,6 +18,10 @@ the rates of the shorter ones are then solved again. So a source misses its targ
 longer than ``MOST`` times all shorter ones together. Cells deal their copies to their documents in hash order. Nothing is drawn
 at random, so reruns agree.
 
+Rows of one id, source and size take each other's place. Where an id stands in so many rows that its block would overload a task, they
+are a cell of their own, whose copies are shared out among parts by row number: each row gets the cell's whole copies, and the
+parts their share of those left over.
+
 Defined cases: a null or empty text has size 0, and its rate does not matter: it is taken once, as 0 words.
 An empty table, or one without words, gives targets of 0. Null ids and equal rows are documents of their own;
 which of several equal rows gets an extra copy is open, but the rows that come out are the same.
@@ -26,6 +30,7 @@ which of several equal rows gets an extra copy is open, but the rows that come o
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -33,12 +38,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import keep, new_name
+from tallyloom.operators.skew import heavy_keys, is_heavy
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3
 WEIGHTS = 3
 #: Documents of one cell at most, about; larger ones are cut into blocks.
 BLOCK_DOCS = 512
+#: Rows of one id from which on they may be a cell of their own.
+REPEATED_ROWS = 1_000_000
 MAX_ROUNDS = 60
 #: A source is done when its expected words are this close to its target, as a share of its size.
 CLOSE = 1e-7
@@ -242,16 +250,51 @@ def row_mix(numbered: DataFrame) -> DataFrame:
     )
     rates = keep(rates, "rates").select(F.col("source").alias("s"), F.col("size").alias("z"), "source_size", "target", "rate", "blocks")
     same = F.expr("source <=> s and size = z")
-    placed = sized.join(rates, same).drop("s", "z").withColumn("block", F.pmod(F.col("draw"), F.col("blocks")).cast("int"))
+    repeated = heavy_keys(sized, "draw", min_rows=REPEATED_ROWS)
+    placed = sized.join(rates, same).drop("s", "z").withColumn("block", block_of(repeated)).withColumn("part", part_of(sized, repeated))
     cell = ["source", "size", "block"]
-    per_cell = placed.groupBy(*cell).agg(
+    per_part = placed.groupBy(*cell, "part").agg(
         F.count(F.lit(1)).alias("docs"), F.first("rate").alias("rate"), F.first("target").alias("target")
     )
+    if repeated:
+        per_part = keep(per_part, "parts")
+    per_cell = per_part.groupBy(*cell).agg(
+        F.sum("docs").alias("docs"), F.first("rate").alias("rate"), F.first("target").alias("target")
+    )
     dealt = per_cell.groupBy("source").applyInPandas(dealt_copies, "s string, z long, b int, n long, total long")
-    rank = F.row_number().over(Window.partitionBy(*cell).orderBy(F.hash("draw"), "draw", "key"))
+    dealt = dealt.withColumn("each", F.floor(F.col("total") / F.col("n"))).withColumn("over", F.expr("total - each * n"))
+    shares = shared_out(dealt, per_part) if repeated else dealt.select("s", "z", "b", F.lit(0).alias("p"), "each", "over")
+    rank = F.row_number().over(Window.partitionBy(*cell, "part").orderBy(F.hash("draw"), "draw", "key"))
     ranked = placed.withColumn("rank", rank)
-    each = F.floor(F.col("total") / F.col("n"))
-    copies = (each + F.when(F.col("rank") <= F.col("total") - each * F.col("n"), 1).otherwise(0)).cast("long")
-    return ranked.join(dealt, F.expr("source <=> s and size = z and block = b")).select(
+    copies = (F.col("each") + F.when(F.col("rank") <= F.col("over"), 1).otherwise(0)).cast("long")
+    return ranked.join(shares, F.expr("source <=> s and size = z and block = b and part = p")).select(
         "row", "key", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
     )
+
+
+def block_of(repeated: Sequence[int]) -> Column:
+    """Block of a row in its source and size: by its id, or a negative number that stands for a very frequent id."""
+    block = F.pmod("draw", "blocks").cast("int")
+    if not repeated:
+        return block
+    place = F.array_position(F.array(*map(F.lit, sorted(repeated))), F.col("draw")).cast("int")
+    return F.when(is_heavy(F.col("draw"), repeated), -place).otherwise(block)
+
+
+def part_of(rows: DataFrame, repeated: Sequence[int]) -> Column:
+    """Part of a row in its block: 0, or by its number if its id is very frequent."""
+    if not repeated:
+        return F.lit(0)
+    parts = F.lit(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return F.when(is_heavy(F.col("draw"), repeated), F.pmod(F.xxhash64("row"), parts).cast("int")).otherwise(0)
+
+
+def shared_out(dealt: DataFrame, per_part: DataFrame) -> DataFrame:
+    """(s, z, b, p, each, over): the copies left over in each cell, shared out among its parts by their documents."""
+    parts = per_part.join(dealt, F.expr("source <=> s and size = z and block = b"))
+    upto = F.sum("docs").over(Window.partitionBy("s", "z", "b").orderBy("part"))
+    # In whole numbers, as the shares must add up.
+    share = lambda docs: F.expr(f"cast(over as decimal(38, 0)) * ({docs}) div n")
+    return parts.withColumn("upto", upto).select(
+        "s", "z", "b", F.col("part").alias("p"), "each", (share("upto") - share("upto - docs")).alias("over")
+    )

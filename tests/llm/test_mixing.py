@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import documents, empty, with_clashes
 from tallyloom.llm import mixing
@@ -127,3 +128,29 @@ def test_sources_with_a_dominant_document_keep_the_target(spark):
     for r in mixing.mix(docs).collect():
         taken["abc"[r["doc_id"] // 1000]] += r["taken"]
     assert all(abs(taken[s] - wanted[s]) <= error_bound(sizes[s]) + 1 for s in sizes)
+
+
+def test_an_id_in_a_third_of_all_rows(spark, monkeypatch):
+    """Its rows are dealt to many parts; targets, limits and reruns hold as for any other."""
+    rng = random.Random(3)
+    texts = [" ".join(["w"] * rng.choice([3, 3, 3, 5, 40])) for _ in range(6_000)]
+    ids = [None if i % 3 == 0 else 7 if i % 7 == 0 else i for i in range(6_000)]
+    sources = [("a", "b", None)[i % 3 if i % 2 else 0] for i in range(6_000)]
+    rows = [(i, t, s) for i, t, s in zip(ids, texts, sources)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "REPEATED_ROWS", 500)
+    found = mixing.mix(docs).collect()
+    assert len(found) == 6_000 and all(0 <= r["copies"] <= 3 for r in found)
+    assert sum(r["size"] for r in found) == sum(len(t.split()) for t in texts)
+    taken = {}
+    for r in found:
+        taken[r["target"]] = taken.get(r["target"], 0) + r["taken"]
+    assert all(abs(words - wanted) <= 40 for wanted, words in taken.items()) and len(taken) == 3
+    again = mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(repr, again)) == sorted(map(repr, found))
+
+    draws = docs.select(F.xxhash64(F.lit("mixing"), F.col("doc_id").cast("string")).alias("draw"), F.monotonically_increasing_id().alias("row"))
+    repeated = [draws.where("row is not null").groupBy("draw").count().orderBy(F.desc("count")).first()["draw"]]
+    parts = draws.select("draw", mixing.part_of(draws, repeated).alias("part")).where(F.col("draw") == repeated[0])
+    counts = [r["count"] for r in parts.groupBy("part").count().collect()]
+    assert len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(counts) < 2 * sum(counts) / len(counts)
