@@ -4,12 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tallyloom.functions import period_day
 from tallyloom.operators.conform import SourceColumn, spark_type
 
+# Rows that one task compares.
+PART_ROWS = 100_000
+# Rows of a cell, and cells at most: a task holds so many short rows of sums, and so many numbers are broadcast.
+CELL_ROWS = 256
+MOST_CELLS = 1 << 18
+
 
 def violations(df: DataFrame, columns: Sequence[SourceColumn], key: str | None = None) -> DataFrame:
     """``(column_name, rule, violations)``: NULLs in required columns, too long texts, surplus key copies.
@@ -73,17 +81,21 @@ def completeness(source: DataFrame, target: DataFrame, field: str, unit: str = "
     return both.groupBy("period").agg(*totals).withColumn("complete", F.col("source_rows") == F.col("target_rows"))
 
 
-def content(df: DataFrame, columns: Sequence[str], field: str, unit: str, name: str) -> DataFrame:
-    """Rows per period, and two sums of row hashes that don't depend on the order of rows but on how often each stands there."""
+def row_hashes(columns: Sequence[str]) -> tuple[Column, Column]:
+    """Two 64-bit hashes of a row."""
     # Which columns are null is hashed too, as hashes pass over nulls; texts and numbers are never mixed up, as types agree.
     nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
     values = [F.col(c) for c in columns]
+    return F.xxhash64(nulls, *values), F.xxhash64(F.lit(1), *reversed(values), nulls)
+
+
+def content(df: DataFrame, columns: Sequence[str], field: str, unit: str, name: str) -> DataFrame:
+    """Rows per period, and two sums of row hashes that don't depend on the order of rows but on how often each stands there."""
+    one, two = row_hashes(columns)
     # As decimals, sums of 64-bit hashes can't overflow.
     total = lambda h: F.sum(h.cast("decimal(20,0)"))
     return df.groupBy(period_day(F.col(field), unit).alias("period")).agg(
-        F.count(F.lit(1)).alias(f"{name}_rows"),
-        total(F.xxhash64(nulls, *values)).alias(f"{name}_one"),
-        total(F.xxhash64(F.lit(1), *reversed(values), nulls)).alias(f"{name}_two"),
+        F.count(F.lit(1)).alias(f"{name}_rows"), total(one).alias(f"{name}_one"), total(two).alias(f"{name}_two")
     )
 
 
@@ -111,19 +123,58 @@ def same_content(
     return found.select("period", "source_rows", "target_rows", complete.alias("complete"), same.alias("same"))
 
 
+def _differing_cells(both: DataFrame, columns: Sequence[str], rows: int) -> tuple[DataFrame, int, int]:
+    """The rows whose cell, by their hash, is not the same in both tables; how many they are, and those of the largest cell."""
+    one, two = row_hashes(columns)
+    celled = both.withColumn("_cell", F.pmod(one, F.lit(min(rows // CELL_ROWS + 1, MOST_CELLS))))
+    of_source = F.col("in_source") > 0
+
+    def apart(h: Column) -> Column:
+        h = h.cast("decimal(20,0)")
+        return F.sum(F.when(of_source, h).otherwise(-h))
+
+    sums = celled.groupBy("_cell").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(F.col("in_source") - F.col("in_target")).alias("_surplus"),
+        apart(one).alias("_one"),
+        apart(two).alias("_two"),
+    )
+    found = sums.where("_surplus <> 0 or _one <> 0 or _two <> 0").select("_cell", "_rows").toArrow()
+    cells = both.sparkSession.createDataFrame(found.select(["_cell"]))
+    chosen = celled.join(F.broadcast(cells), "_cell", "left_semi").drop("_cell")
+    return chosen, pc.sum(found["_rows"]).as_py() or 0, pc.max(found["_rows"]).as_py() or 0
+
+
 def differences(
     source: DataFrame, target: DataFrame, field: str, unit: str = "day", columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """The rows that one table holds more often than the other, with how often each does; only periods that differ are compared row by row."""
-    names = sorted(columns or source.columns)
-    differing = same_content(source, target, field, unit, names).where("not same").select("period")
-
-    def counted(df: DataFrame, side: str) -> DataFrame:
-        of_period = period_day(F.col(field), unit)
-        dated = df.select(*names, of_period.alias("_period"))
-        chosen = dated.join(differing, F.col("_period").eqNullSafe(F.col("period")), "left_semi").drop("_period")
-        return chosen.groupBy(*names).agg(F.count(F.lit(1)).alias(side))
+    """The rows that one table holds more often than the other, with how often each does; only periods that differ are compared row by row.
 
-    both = counted(source, "in_source").unionByName(counted(target, "in_target"), allowMissingColumns=True)
-    totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("in_source", "in_target")]
-    return both.groupBy(*names).agg(*totals).where("in_source <> in_target")
+    In those, rows are first summed in cells as in ``same_content``, and only those of cells that differ are
+    dealt out, to parts of ``PART_ROWS`` rows whatever the number of shuffle partitions. Both steps run at once,
+    as the parts are counted by them; the driver gets the periods and the numbers of the cells.
+    """
+    names = sorted(columns or source.columns)
+    sides = ["in_source", "in_target"]
+    differing = same_content(source, target, field, unit, names).where("not same")
+    found = differing.select(F.col("period").alias("_differing"), (F.col("source_rows") + F.col("target_rows")).alias("n")).toArrow()
+    periods = source.sparkSession.createDataFrame(found.select(["_differing"]))
+    rows = most = pc.sum(found["n"]).as_py() or 0
+
+    def marked(df: DataFrame, side: str) -> DataFrame:
+        marks = [F.lit(int(s == side)).cast("long").alias(s) for s in sides]
+        return df.select(*names, *marks, period_day(F.col(field), unit).alias("_period"))
+
+    both = marked(source, sides[0]).unionByName(marked(target, sides[1]))
+    both = both.join(F.broadcast(periods), F.col("_period").eqNullSafe(F.col("_differing")), "left_semi").drop("_period")
+    # Hashes of nested values pass over nulls in them, so these are all compared themselves.
+    if all(isinstance(source.schema[c].dataType, AtomicType) for c in names):
+        both, rows, most = _differing_cells(both, names, rows)
+
+    parts = rows // PART_ROWS + 1
+    totals = [F.sum(c).alias(c) for c in sides]
+    if most > PART_ROWS:
+        # Copies of a row that may be that frequent are first counted apart, by the task that read them.
+        read = both.withColumn("_reader", F.spark_partition_id()).repartition(parts, *names, "_reader")
+        both = read.groupBy(*names, "_reader").agg(*totals)
+    return both.repartition(parts, *names).groupBy(*names).agg(*totals).where("in_source <> in_target")

@@ -261,6 +261,45 @@ def test_content(spark):
         quality.same_content(left, left.withColumn("b", F.lit(1)), "ts")
 
 
+def test_differing_rows_are_dealt_to_parts_of_a_fixed_size(spark, monkeypatch):
+    """However few shuffle partitions there are, so that a task's memory does not grow with the tables."""
+    monkeypatch.setattr(quality, "PART_ROWS", 1000, raising=False)
+    left = spark.range(20_000).selectExpr("id", "'x' as name", "timestamp_ntz'2024-01-01 05:00:00' as ts")
+    found = quality.differences(left, left.withColumn("name", F.expr("if(id = 0, 'x', 'y')")), "ts", "month")
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 2 * 19_999
+    assert max(sizes) < 2000
+
+
+@pytest.mark.parametrize("part_rows", [20, 100_000])
+@pytest.mark.parametrize("cell_rows", [1, 50])
+def test_differences_of_many_copies(spark, monkeypatch, part_rows, cell_rows):
+    monkeypatch.setattr(quality, "PART_ROWS", part_rows, raising=False)
+    monkeypatch.setattr(quality, "CELL_ROWS", cell_rows, raising=False)
+    rng = random.Random(part_rows + cell_rows)
+    days = [None, datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 2, 1)]
+    rows = [(rng.choice(days), rng.choice([None, "", "a", "b"]), rng.choice([None, 0.0, float("inf")])) for _ in range(60)]
+    rows += [(days[1], "often", 1.0)] * 90
+    others = [*rows[5:], (days[1], "often", 1.0), (days[3], "new", None)]
+    left, right = (spark.createDataFrame(r, "ts timestamp_ntz, a string, b double").repartition(3) for r in (rows, others))
+    found = quality.differences(left, right, "ts", "month").collect()
+    plain, plain_others = Counter(rows), Counter(others)
+    expected = {k: (plain[k], plain_others[k]) for k in plain | plain_others if plain[k] != plain_others[k]}
+    assert {(r["ts"], r["a"], r["b"]): (r["in_source"], r["in_target"]) for r in found} == expected
+    assert len(found) == len(expected)
+
+
+def test_differences_within_lists(spark, monkeypatch):
+    """Lists that differ only in the place of a null have the same hash."""
+    monkeypatch.setattr(quality, "CELL_ROWS", 1, raising=False)
+    day = datetime(2024, 1, 1)
+    rows = [(day, ["a", None]), (day, ["x", "y"]), *[(day, [str(n)]) for n in range(50)]]
+    others = [(day, [None, "a"]), (day, ["x", "z"]), *rows[2:]]
+    left, right = (spark.createDataFrame(r, "ts timestamp_ntz, a array<string>") for r in (rows, others))
+    found = {tuple(r["a"]): (r["in_source"], r["in_target"]) for r in quality.differences(left, right, "ts").collect()}
+    assert found == {("a", None): (1, 0), ("x", "y"): (1, 0), (None, "a"): (0, 1), ("x", "z"): (0, 1)}
+
+
 @pytest.fixture
 def layers(spark, tmp_path):
     tag = uuid.uuid4().hex[:8]
