@@ -5,14 +5,17 @@ hashed into a parent until one node is left, the source's subroot; the subroots
 
 *Order.* Rows are sorted across partitions and numbered by the rows that partitions before theirs hold, so a source
 that has a third of all rows is spread over a third of the partitions. Only counts per partition are put in order in one place.
+The driver learns the bounds of the partitions from a sample that grows with their number; it is kept small.
 
 *Store.* For each level there are records from a node's digest to its children's digests, one per distinct digest: equal subtrees
-share their record.
+share their record. The roots are written to a table of their own, as all levels of the descent and of the tree above read them.
 
 *Descent.* Requests name a leaf by source and rank. From the root downwards, requests that share a prefix of digits (base 16) go
 together: their node's digest is looked up in the store, the next digit selects a child, and its siblings to the left and right are
 collected as a segment of the path. Above the lowest level there are never more rows than nodes, and no node
 has more than 16 requests to answer at the lowest, so nothing piles up on the root. Reversed segments are the proof, leaf first.
+Neighbours' paths are all but equal and are stored in a fraction of their size, so the size of their files must not have them
+broadcast: nodes are the left side of left joins, of which only the right can be. Every node has its record, so none is added.
 
 Defined cases: null fields hash as ``-``; a null source is a source of its own and comes first; null ids come first in their source.
 Rows with equal ids stand in the order of their leaves, and equal rows get the proofs of neighbouring places. A source with one
@@ -23,10 +26,11 @@ columns take no part. An empty table gives an empty result.
 from __future__ import annotations
 
 import string
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import keep
@@ -37,6 +41,8 @@ WIDTH = 64
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 # monotonically_increasing_id has the partition above, and the row's place in it below, this bit.
 PLACE_BITS = 33
+#: Rows sampled per partition of a sort: Spark takes three times as many to the driver, for bounds that are a few tenths off at most.
+SAMPLED = 20
 #: 16 to this power is beyond any count of rows.
 MOST_LEVELS = 15
 
@@ -70,35 +76,62 @@ def height_of(leaves: Column) -> Column:
 # order
 
 
+@contextmanager
+def small_sample(spark: SparkSession) -> Iterator[None]:
+    """Bounds of partitions are found from ``SAMPLED`` rows each in here, as all those rows meet on the driver."""
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(SAMPLED, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def in_order(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """``df`` sorted, with ``part``, the partition a row was sorted in, and ``place``, the number of rows before it in there."""
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    with small_sample(df.sparkSession):
+        rows = keep(placed, name)
+    place = F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    return rows.withColumns({"part": F.shiftright("at", PLACE_BITS), "place": place}).drop("at")
+
+
+def offsets(counts: DataFrame) -> DataFrame:
+    """(part, offset), the rows in the partitions before, of (part, rows); for a broadcast, as there is one row per partition."""
+    totals = counts.groupBy("part").agg(F.sum("rows").alias("rows"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return F.broadcast(totals.select("part", (F.sum("rows").over(before) - F.col("rows")).alias("offset")))
+
+
 def numbered(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     """``df`` with ``pos``, the number of rows that come before, and ``part``, the partition a row was sorted in."""
-    rows = keep(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), name
-    ).withColumn("part", F.shiftright("at", PLACE_BITS))
+    rows = in_order(df, order, name)
     counts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
-    # One row per partition of the sort.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select("part", (F.sum("rows").over(before) - F.col("rows")).alias("offset"))
-    place = F.col("offset") + F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    return rows.join(F.broadcast(offsets), "part").withColumn("pos", place).drop("at", "offset")
+    return rows.join(offsets(counts), "part").withColumn("pos", F.col("offset") + F.col("place")).drop("place", "offset")
 
 
 def by_source(leaves: DataFrame) -> DataFrame:
     """Leaves with the number of their source (``tree``), their rank in it, and the source's height."""
     # The row's number parts rows that are equal in all else, so that any number of them can be spread.
     tied = leaves.withColumn("tie", F.monotonically_increasing_id())
-    rows = numbered(tied, ["source", "key", "leaf", "tie"], "leaves").drop("tie")
-    stretches = rows.groupBy("part", "source").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
-    whole = stretches.groupBy("source").agg(F.min("first").alias("start"), F.sum("n").alias("n"))
+    rows = in_order(tied, ["source", "key", "leaf", "tie"], "leaves").drop("tie")
+    # Kept, so that all that follows from the counts takes one pass over the rows.
+    counted = rows.groupBy("part", "source").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("rows"))
+    stretches = keep(counted, "stretches")
+    stretches = stretches.join(offsets(stretches.select("part", "rows")), "part")
+    first = F.min(F.col("offset") + F.col("first"))
+    whole = stretches.groupBy("source").agg(first.alias("start"), F.sum("rows").alias("n"))
     sources = numbered(whole, ["start"], "sources").select(
         F.col("source").alias("s"), F.col("pos").alias("tree"), "start", height_of(F.col("n")).alias("height")
     )
     # A partition holds few rows of few sources or many of one: joined by both, no key has more rows than a partition.
     placed = stretches.join(sources, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("part").alias("p"), "s", "tree", "start", "height"
+        F.col("part").alias("p"), "s", "tree", (F.col("offset") - F.col("start")).alias("shift"), "height"
     )
-    joined = rows.join(placed, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")))
-    return joined.withColumn("rank", F.col("pos") - F.col("start")).drop("part", "p", "s", "source", "start", "pos")
+    # Every row has its stretch; in a left join the rows can't be broadcast, though equal ones have small files.
+    joined = rows.join(placed, (F.col("part") == F.col("p")) & F.col("source").eqNullSafe(F.col("s")), "left")
+    return joined.withColumn("rank", F.col("place") + F.col("shift")).drop("part", "p", "s", "source", "shift", "place")
 
 
 # store
@@ -133,7 +166,7 @@ def build_trees(leaves: DataFrame) -> Forest:
         below = keep(nodes, f"level{level}")
         levels.append(below)
         roots = roots.unionByName(below.where(F.col("height") == level).select("tree", "height", "digest"))
-    return Forest(levels, roots)
+    return Forest(levels, keep(roots, "roots"))
 
 
 @dataclass
@@ -199,7 +232,7 @@ def looked_up(starts: DataFrame, forest: Forest, wanted: DataFrame | None, lowes
         active = entering if active is None else active.unionByName(entering)
         if level == lowest:
             break
-        met = active.join(forest.records(level), "digest")
+        met = active.join(forest.records(level), "digest", "left")
         size = F.length("children") / WIDTH
         each = met.withColumn("digit", F.explode(F.sequence(F.lit(0), size.cast("int") - 1)))
         active = each.select(
@@ -224,11 +257,11 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None, key: str = "doc_i
     trees = None if wanted is None else wanted.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank")).distinct()
     subroots = looked_up(starts, manifest.top, trees, 0).select(F.col("rank").alias("tree"), "digest", "path", "root")
     heights = manifest.sources.roots.select("tree", "height")
-    inner = keep(subroots.join(heights, "tree").withColumn("subroot", F.col("digest")), "subroots")
+    inner = keep(subroots.join(heights, "tree", "left").withColumn("subroot", F.col("digest")), "subroots")
 
     lowest = looked_up(inner, manifest.sources, wanted, 1).drop("height")
     if manifest.sources.levels:
-        lowest = lowest.join(manifest.sources.records(1), "digest")
+        lowest = lowest.join(manifest.sources.records(1), "digest", "left")
     else:
         lowest = lowest.withColumn("children", F.lit(None).cast("string"))
     alone = inner.where("height = 0").drop("height").withColumn("rank", F.lit(0).cast("long"))
@@ -236,7 +269,8 @@ def prove(manifest: Manifest, wanted: DataFrame | None = None, key: str = "doc_i
 
     rows = manifest.rows if wanted is None else manifest.rows.join(wanted.select("tree", "rank").distinct(), ["tree", "rank"], "left_semi")
     asked = rows.drop("leaf").withColumn("block", F.expr(f"rank div {FANOUT}"))
-    met = asked.join(lowest, ["tree", "block"])
+    # Neither side is small because its files are: ranks are stored as tightly as paths.
+    met = asked.hint("merge").join(lowest, ["tree", "block"])
     digit = (F.col("rank") % FANOUT).cast("int")
     has_run = F.col("children").isNotNull()
     path = F.when(has_run, F.concat("path", F.array(step(F.col("children"), digit)))).otherwise(F.col("path"))

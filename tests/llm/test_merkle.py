@@ -142,3 +142,39 @@ def test_heights(spark):
     counts = [1, 2, 16, 17, 256, 257, 4096, 4097, 16**10]
     found = spark.createDataFrame([(c,) for c in counts], "n long").select(merkle.height_of(F.col("n"))).collect()
     assert [r[0] for r in found] == [0, 1, 1, 2, 2, 3, 3, 4, 10]
+
+
+def broadcast_columns(plan):
+    """Columns of all that a physical plan broadcasts in its hash joins."""
+    children = [plan.children().apply(i) for i in range(plan.children().size())]
+    found = {c for child in children for c in broadcast_columns(child)}
+    if plan.nodeName().startswith("Broadcast"):
+        side = plan.left() if plan.buildSide().toString() == "BuildLeft" else plan.right()
+        found |= {side.output().apply(i).name() for i in range(side.output().size())}
+    return found
+
+
+def test_paths_and_leaves_are_not_broadcast_whatever_their_files_take(spark, monkeypatch):
+    plans, kept = [], merkle.keep
+    monkeypatch.setattr(merkle, "keep", lambda df, name: plans.append(df) or kept(df, name))
+    docs = varied(spark, {"hot": 300, **{f"s{i}": 1 + i % 3 for i in range(40)}})
+    plans.append(proofs(docs))
+    sent = [broadcast_columns(p._jdf.queryExecution().sparkPlan()) for p in plans]
+    assert any(sent) and not any({"path", "leaf"} & columns for columns in sent)
+    assert not {"rank", "block"} & sent[-1]
+
+
+def test_roots_are_a_table(spark):
+    manifest = merkle.build(varied(spark, {"a": 40, "b": 3, "c": 1}))
+    for forest in (manifest.sources, manifest.top):
+        assert "Union" not in forest.roots._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["tree"], r["height"]) for r in manifest.sources.roots.collect()) == [(0, 2), (1, 1), (2, 0)]
+
+
+def test_a_sort_brings_few_rows_to_the_driver(spark, monkeypatch):
+    name, seen, kept = "spark.sql.execution.rangeExchange.sampleSizePerPartition", [], merkle.keep
+    monkeypatch.setattr(merkle, "keep", lambda df, to: seen.append((to, int(spark.conf.get(name)))) or kept(df, to))
+    before = spark.conf.get(name)
+    merkle.build(varied(spark, {"a": 40, "b": 3}))
+    assert {to: n for to, n in seen if to in ("leaves", "sources")} == {"leaves": 20, "sources": 20}
+    assert spark.conf.get(name) == before
