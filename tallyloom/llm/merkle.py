@@ -41,7 +41,7 @@ WIDTH = 64
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 # monotonically_increasing_id has the partition above, and the row's place in it below, this bit.
 PLACE_BITS = 33
-#: Rows sampled per partition of a sort: Spark takes three times as many to the driver, for bounds that are a few tenths off at most.
+#: Rows sampled per partition of a sort: Spark takes three times as many to the driver, for bounds that are mostly off by a tenth or two.
 SAMPLED = 20
 #: 16 to this power is beyond any count of rows.
 MOST_LEVELS = 15
